@@ -1,0 +1 @@
+"""Intentionally empty: every source in scope is a batch table (see README)."""
