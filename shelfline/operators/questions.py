@@ -7,15 +7,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfline.plans.ordering import with_rank
 from shelfline.plans.sizing import broadcast_bounded, join_dim
 
-_SALES = F.col("sales").cast("double")
+def _sales() -> Column:
+    return F.col("sales").cast("double")
 
 
 def _total(name: str = "total_sales") -> Column:
-    return F.sum(_SALES).alias(name)
+    return F.sum(_sales()).alias(name)
 
 
 def _mean(name: str = "avg_sales") -> Column:
-    return F.avg(_SALES).alias(name)
+    return F.avg(_sales()).alias(name)
 
 
 def _zero_rate() -> Column:
@@ -68,7 +69,7 @@ def q04_stockout_hotspots(fact: DataFrame, dim_store: DataFrame, dim_product: Da
 
 
 def store_totals(fact: DataFrame) -> DataFrame:
-    sums = fact.groupBy("store_key", "product_key").agg(F.sum(_SALES).alias("s"), F.count("sales").alias("n"))
+    sums = fact.groupBy("store_key", "product_key").agg(F.sum(_sales()).alias("s"), F.count("sales").alias("n"))
     return sums.groupBy("store_key").agg(F.sum("s").alias("total_revenue"),
                                          (F.sum("s") / F.sum("n")).alias("avg_daily_sales"))
 
@@ -93,8 +94,8 @@ def q06_weekend_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def promo_means(df: DataFrame, *keys: str) -> DataFrame:
     """Mean with and without promotion as conditional aggregates in one pass."""
     return df.groupBy(*keys).agg(
-        F.avg(F.when(F.col("onpromotion") == 1, _SALES)).alias("avg_with_promo"),
-        F.avg(F.when(F.col("onpromotion") == 0, _SALES)).alias("avg_without_promo"))
+        F.avg(F.when(F.col("onpromotion") == 1, _sales())).alias("avg_with_promo"),
+        F.avg(F.when(F.col("onpromotion") == 0, _sales())).alias("avg_without_promo"))
 
 
 def q07_promotion_lift(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -107,7 +108,7 @@ def q07_promotion_lift(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 def yearly_sales(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Per day first (at most one row per calendar day), then per year: no distinct count over the fact."""
-    daily = fact.groupBy("date_key").agg(F.sum(_SALES).alias("s"), F.count("sales").alias("n"))
+    daily = fact.groupBy("date_key").agg(F.sum(_sales()).alias("s"), F.count("sales").alias("n"))
     return (daily.join(broadcast_bounded(dim_date.select("date_key", "year")), "date_key").groupBy("year")
             .agg(F.sum("s").alias("total_sales"), (F.sum("s") / F.sum("n")).alias("avg_daily_sales"),
                  F.count(F.lit(1)).alias("active_days")))

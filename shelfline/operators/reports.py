@@ -12,11 +12,11 @@ from shelfline.operators.stockout import season_means, stockout_heatmap
 
 def filter_store_year_category(df: DataFrame, stores: list[int] | None = None, years: list[int] | None = None,
                                categories: list[str] | None = None) -> DataFrame:
-    """Membership filters; they are plain predicates, so they reach the scan."""
+    """Membership filters as plain predicates: they reach the scan, and the year prunes partitions."""
     if stores:
         df = df.where(F.col("store_id").isin(stores))
     if years:
-        df = df.where(F.year("date").isin(years))
+        df = df.where((F.col("year") if "year" in df.columns else F.year("date")).isin(years))
     return df.where(F.col("category").isin(categories)) if categories else df
 
 

@@ -26,10 +26,12 @@ class WrittenTables:
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
+        self._written = 0
         self.root = f"{(folder or ensure_checkpoint_dir(spark)).rstrip('/')}/shelfline-{uuid.uuid4().hex}"
 
     def __call__(self, df: DataFrame, name: str, partition_by: tuple = ()) -> DataFrame:
-        path = f"{self.root}/{name}"
+        self._written += 1
+        path = f"{self.root}/{self._written:03d}-{name}"  # never over a table that a frame still reads
         writer = df.write.mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path).select(df.columns)
