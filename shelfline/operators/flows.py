@@ -58,7 +58,8 @@ def warehouse_flow(raw: RawTables, featured: DataFrame | None = None, calendar:
     dim_product = stage(warehouse.load_dim_product(raw.products), "dim_product")
     rows = warehouse.classify_fact_rows(featured, days, dim_store, dim_product, raw.stores)
     dim_economic = stage(warehouse.load_dim_economic(cleaning.clean_oil(raw.oil), days), "dim_economic")
-    dim_cpi = None if raw.cpi is None else stage(warehouse.load_dim_cpi(raw.cpi), "dim_cpi")
+    dim_cpi = None if raw.cpi is None else stage(
+        warehouse.load_dim_cpi(raw.cpi, None if stage is lazy else stage), "dim_cpi")
     return Warehouse(days, dim_store, dim_product, dim_economic, stage(warehouse.fact_rows(rows), "fact_daily_sales"),
                      stage(warehouse.fact_rejects(rows), "fact_rejects"), dim_cpi)
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shelfline.functions.lookups import MODEL_FEATURES, SEASON_WORDS
 from shelfline.operators.features import SERIES
 from shelfline.plans.ordering import with_row_number
+from shelfline.plans.staging import Stage
 from shelfline.session import ensure_checkpoint_dir
 
 # The two published settings; penalties and minimum child weight have no Spark match.
@@ -213,10 +214,10 @@ def prediction_sample(predictions: DataFrame, n: int = 5000) -> DataFrame:
     return predictions.orderBy(F.xxhash64(*SERIES, "date"), *SERIES, "date").limit(n)
 
 
-def timeline_buckets(predictions: DataFrame, groups: int = 100) -> DataFrame:
+def timeline_buckets(predictions: DataFrame, groups: int = 100, stage: Stage | None = None) -> DataFrame:
     """Predictions in (date, store, family) order cut into equal runs; the rest after the last run is dropped."""
-    order = F.datediff("date", F.lit("1970-01-01").cast("date")).cast("long") * F.lit(2 ** 31) + F.col("store_id")
-    numbered = with_row_number(predictions.withColumn("_order", order), "_order", ["family"], "rn", total="n")
+    rows = predictions.select(*SERIES, "date", "actual", "predicted")
+    numbered = with_row_number(rows, ["date", *SERIES], "rn", total="n", stage=stage)
     size = F.greatest(F.floor(F.col("n") / groups), F.lit(1))
     return (numbered.withColumn("period", F.floor((F.col("rn") - 1) / size).cast("int"))
             .where(F.col("period") < groups)

@@ -49,6 +49,6 @@ def join_sales_store_inner(sales: DataFrame, stores: DataFrame) -> DataFrame:
     return join_dim(sales, stores.select("store_nbr", "type"), "store_nbr", "inner", bound=stores)
 
 
-def semi_join_in(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows whose key occurs in another frame."""
-    return df.join(keys, on, "left_semi")
+def semi_join_in(df: DataFrame, keys: DataFrame, on: str | list[str], bounded: bool = False) -> DataFrame:
+    """Rows whose key occurs in another frame; ``bounded`` says it has at most one row per calendar day."""
+    return df.join(broadcast_bounded(keys) if bounded else keys, on, "left_semi")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfline.plans.ordering import with_rank
 from shelfline.plans.sizing import broadcast_bounded, join_dim
 
+
 def _sales() -> Column:
     return F.col("sales").cast("double")
 
@@ -135,14 +136,16 @@ def q09_payday_effect(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def latest_fact_day(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """One row: the newest day that the fact holds."""
-    return dim_date.join(fact.select("date_key"), "date_key", "left_semi").agg(F.max("full_date").alias("day"))
+    """One row: the newest day that the fact holds. Only the distinct keys of the fact are moved."""
+    held = dim_date.join(broadcast_bounded(fact.select("date_key").distinct()), "date_key", "left_semi")
+    return held.agg(F.max("full_date").alias("day"), F.max_by("date_key", "full_date").alias("date_key"))
 
 
 def latest_fact_date_filter(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    day = latest_fact_day(fact, dim_date).scalar()
-    days = dim_date.where(F.col("full_date") == day).select("date_key", "full_date")
-    return fact.join(broadcast_bounded(days), "date_key")
+    """The fact's rows of that day; the key is a runtime value that the scan can filter on."""
+    newest = latest_fact_day(fact, dim_date)
+    return (fact.where(F.col("date_key") == newest.select("date_key").scalar())
+            .withColumn("full_date", newest.select("day").scalar()))
 
 
 def q10_reorder_alerts(fact: DataFrame, dim_date: DataFrame, dim_store: DataFrame, dim_product: DataFrame,

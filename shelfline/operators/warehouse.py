@@ -14,6 +14,7 @@ from shelfline.operators.cleaning import fill_forward_backward
 from shelfline.operators.features import SERIES
 from shelfline.plans.ordering import with_rank, with_row_number
 from shelfline.plans.sizing import broadcast_bounded, join_dim
+from shelfline.plans.staging import Stage
 from shelfline.sources.readers import STAR_COLUMNS
 
 
@@ -102,11 +103,10 @@ def scd_defaults_truncate(cpi: DataFrame) -> DataFrame:
         money("city_price", "decimal(10,2)"))
 
 
-def load_dim_cpi(cpi: DataFrame) -> DataFrame:
+def load_dim_cpi(cpi: DataFrame, stage: Stage | None = None) -> DataFrame:
     """CPI rows with a surrogate key in (month, item, city) order."""
-    rows = scd_defaults_truncate(cpi).withColumn(
-        "_key", (F.col("year") * 12 + F.col("month")).cast("long") * F.lit(2 ** 31) + F.col("item_id"))
-    return with_row_number(rows, "_key", ["city"], "cpi_key").select(schemas.DIM_CPI.fieldNames())
+    numbered = with_row_number(scd_defaults_truncate(cpi), ["year", "month", "item_id", "city"], "cpi_key", stage=stage)
+    return numbered.select(schemas.DIM_CPI.fieldNames())
 
 
 def to_warehouse_decimals(df: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ def load_fact(panel: DataFrame, dim_date: DataFrame, dim_store: DataFrame, dim_p
 def fk_conformance(df: DataFrame, dim: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(rows whose key is in the dimension, rows whose key is not)."""
     keys = dim.select(key)
-    return df.join(keys, key, "left_semi"), df.join(keys, key, "left_anti")
+    return join_dim(df, keys, key, "left_semi", bound=dim), join_dim(df, keys, key, "left_anti", bound=dim)
 
 
 def star_join(fact: DataFrame, dim_date: DataFrame, dim_store: DataFrame, dim_product: DataFrame,

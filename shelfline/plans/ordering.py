@@ -1,74 +1,83 @@
 """Exact quantiles, ranks and row numbers over a whole table without a one-task sort.
 
-All three cut the ordered key into buckets at approximate quantiles of the data, work inside each
-bucket in parallel, and add an offset from the bucket totals (at most ``buckets`` rows). The cuts only
-balance the work: the results are exact whatever the cuts are, since equal keys share a bucket.
+Quantiles and ranks first count the rows of each distinct value, so a value that holds a large share of
+the table is one row from then on. The distinct values are cut into buckets at approximate quantiles,
+running counts are taken inside each bucket in parallel, and an offset from the bucket totals (at most
+``buckets`` rows) is added. The cuts only balance the work; the results are exact whatever they are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS = 64
+from shelfline.plans.staging import Stage, WrittenTables
 
+BUCKETS = 64
 
-def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    cuts = df.agg(F.percentile_approx(key, [i / buckets for i in range(1, buckets)], 10000).alias("c")).scalar()
-    position = F.size(F.filter("_cuts", lambda cut: cut < F.col(key)))
-    return df.withColumn("_cuts", cuts).withColumn("_bucket", position).drop("_cuts")
 
+def _value_spans(df: DataFrame, column: str, descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
+    """Distinct values with the half-open range of positions [_lo, _hi) their rows take, and the row count."""
+    counts = (df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_n")))
+    cuts = counts.agg(F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 10000).alias("c")).scalar()
+    # never null, so that no null check on the bucket is pushed down to the rows of the table
+    position = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col("_v"))), F.lit(0))
+    placed = counts.withColumn("_cuts", cuts).withColumn("_bucket", position).drop("_cuts")
 
-def _with_offset(df: DataFrame, weight: Column, descending: bool = False) -> DataFrame:
-    totals = df.groupBy("_bucket").agg(F.sum(weight).alias("_weight"))
+    totals = placed.groupBy("_bucket").agg(F.sum("_n").alias("_weight"))
     order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     running = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = totals.select(
-        "_bucket",
-        (F.sum("_weight").over(running) - F.col("_weight")).alias("_rows_before"),
-        F.sum("_weight").over(Window.partitionBy()).alias("_rows_total"))
-    return df.join(F.broadcast(offsets), "_bucket")  # at most ``buckets`` rows
+        "_bucket", (F.sum("_weight").over(running) - F.col("_weight")).alias("_before"),
+        F.sum("_weight").over(Window.partitionBy()).alias("_rows"))
+
+    inside = Window.partitionBy("_bucket").orderBy(F.col("_v").desc() if descending else F.col("_v").asc())
+    upper = F.col("_before") + F.sum("_n").over(inside)
+    return (placed.join(F.broadcast(offsets), "_bucket")  # at most ``buckets`` rows
+            .select("_v", "_n", "_rows", upper.alias("_hi"), (upper - F.col("_n")).alias("_lo")))
 
 
 def exact_quantile(df: DataFrame, column: str, q: float, buckets: int = BUCKETS) -> DataFrame:
     """One row, column ``quantile``: linear interpolation between the two nearest order statistics."""
-    counts = (df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_n")))
-    placed = _with_offset(_with_bucket(counts, "_v", buckets), F.col("_n"))
-    running = Window.partitionBy("_bucket").orderBy("_v")
-    upper = F.col("_rows_before") + F.sum("_n").over(running)
-    spans = placed.select("_v", "_rows_total", upper.alias("_hi"), (upper - F.col("_n")).alias("_lo"))
-    position = (F.col("_rows_total") - 1) * F.lit(float(q))
+    position = (F.col("_rows") - 1) * F.lit(float(q))
     low, high = F.floor(position), F.ceil(position)
 
     def value_at(index: Column) -> Column:
         return F.max(F.when((F.col("_lo") <= index) & (index < F.col("_hi")), F.col("_v")))
 
-    ends = spans.agg(value_at(low).alias("_a"), value_at(high).alias("_b"), F.max(position - low).alias("_t"))
+    ends = _value_spans(df, column, buckets=buckets).agg(
+        value_at(low).alias("_a"), value_at(high).alias("_b"), F.max(position - low).alias("_t"))
     return ends.select((F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_t")).alias("quantile"))
 
 
 def with_rank(df: DataFrame, key: str, out: str, method: str = "min", buckets: int = BUCKETS) -> DataFrame:
     """Rank by ``key``, largest first. ``min`` gives SQL RANK, ``average`` the mean rank of ties.
 
-    Null keys are not ranked.
+    Ranks belong to values; rows find theirs by an equi-join, where adaptive execution splits a value that
+    many rows share. Rows with a null key are left out.
+    """
+    spans = _value_spans(df, key, descending=True, buckets=buckets)
+    rank = F.col("_lo") + (F.col("_n") + 1) / 2.0 if method == "average" else (F.col("_lo") + 1).cast("long")
+    ranks = spans.select(F.col("_v").alias("_key"), rank.alias(out))
+    return df.join(ranks, F.col(key).cast("double") == F.col("_key")).drop("_key")
+
+
+def with_row_number(df: DataFrame, order: list[str], out: str = "row_number", total: str | None = None,
+                    stage: Stage | None = None) -> DataFrame:
+    """1-based position by ``order`` over the whole table; the columns of ``order`` identify a row.
+
+    Rows are range-partitioned on the whole key, so no prefix of it has to fit in one task, and written once
+    with their partition and place in it. Row counts per partition then give each partition's offset.
     """
-    known = df.where(F.col(key).isNotNull())
-    placed = _with_offset(_with_bucket(known, key, buckets), F.lit(1), descending=True)
-    first = F.col("_rows_before") + F.rank().over(Window.partitionBy("_bucket").orderBy(F.col(key).desc()))
-    if method == "average":
-        ties = F.count(F.lit(1)).over(Window.partitionBy("_bucket", key))
-        rank = first + (ties - 1) / 2.0
-    else:
-        rank = first.cast("long")
-    return placed.withColumn(out, rank).drop("_bucket", "_rows_before", "_rows_total")
-
-
-def with_row_number(df: DataFrame, key: str, ties: list[str], out: str = "row_number",
-                    total: str | None = None, buckets: int = BUCKETS) -> DataFrame:
-    """1-based position by (key, ties) over the whole table; ``key`` must be numeric."""
-    placed = _with_offset(_with_bucket(df, key, buckets), F.lit(1))
-    inner = F.row_number().over(Window.partitionBy("_bucket").orderBy(key, *ties))
-    numbered = placed.withColumn(out, (F.col("_rows_before") + inner).cast("long"))
-    if total:
-        numbered = numbered.withColumn(total, F.col("_rows_total").cast("long"))
-    return numbered.drop("_bucket", "_rows_before", "_rows_total")
+    stage = stage or WrittenTables(df.sparkSession)
+    placed = stage(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                   .withColumn("_id", F.monotonically_increasing_id()), "ordered_rows")
+    part = F.shiftright("_id", 33).alias("_part")
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("_size"))
+    running = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = sizes.select("_part", (F.sum("_size").over(running) - F.col("_size")).alias("_before"),
+                           F.sum("_size").over(Window.partitionBy()).alias("_rows"))
+    place = F.col("_id").bitwiseAND(F.lit(2 ** 33 - 1))
+    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")  # one row per partition
+    columns = [*df.columns, (F.col("_before") + place + 1).alias(out)]
+    return numbered.select(*columns, *([F.col("_rows").alias(total)] if total else []))

@@ -431,7 +431,7 @@ def fk_conformance(b):
 
 @query
 def semi_join_in(b):
-    return mg.semi_join_in(b.raw.sales, cl.anomaly_days(b.raw.sales).select("date"), "date")
+    return mg.semi_join_in(b.raw.sales, cl.anomaly_days(b.raw.sales).select("date"), "date", bounded=True)
 
 
 @query
@@ -762,7 +762,7 @@ def yoy_growth(b):
 
 @query
 def timeline_buckets(b):
-    return fc.timeline_buckets(b.predictions, 100)
+    return fc.timeline_buckets(b.predictions, 100, b.stage)
 
 
 @query

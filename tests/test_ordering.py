@@ -40,7 +40,7 @@ def test_two_equal_totals_share_rank_one_and_a_half(spark):
 
 def test_row_number_is_global_and_dense(spark):
     frame = pd.DataFrame({"k": np.sort(rng.integers(0, 5, 300)), "t": [f"{x:04d}" for x in range(300)]})
-    got = with_row_number(spark.createDataFrame(frame).repartition(5), "k", ["t"], "rn", total="n", buckets=4).toPandas()
+    got = with_row_number(spark.createDataFrame(frame).repartition(5), ["k", "t"], "rn", total="n").toPandas()
     got = got.sort_values(["k", "t"])
     assert got["rn"].tolist() == list(range(1, 301))
     assert set(got["n"]) == {300}
