@@ -20,7 +20,8 @@ def encode_category(df: DataFrame) -> DataFrame:
 
 def encode_family_rank(df: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """Average rank of the family's total sales, cut to an integer."""
-    ranks = family_ranks(df.select("store_id", "family", F.col("sales").cast("double").alias("sales")), "_rank")
+    ranks = family_ranks(df.select("store_id", "family", F.col("sales").cast("double").alias("sales")), "_rank",
+                         products)
     joined = join_dim(df, ranks.select("family", "_rank"), "family", "left", bound=products)
     return joined.withColumn("family_encoded", F.coalesce(F.col("_rank").cast("int"), F.lit(0))).drop("_rank")
 

@@ -142,14 +142,15 @@ def sales_vs_store_avg(df: DataFrame) -> DataFrame:
     return df.withColumn("sales_vs_store_avg", F.col("sales") / base)
 
 
-def family_ranks(df: DataFrame, out: str = "family_popularity_rank") -> DataFrame:
+def family_ranks(df: DataFrame, out: str = "family_popularity_rank",
+                 products: DataFrame | None = None) -> DataFrame:
     """Family, mean sales and average rank of its total, largest first."""
     totals = group_means(df, "family", "family_avg_sales")
-    return with_rank(totals, "_total", out, method="average").drop("_total")
+    return with_rank(totals, "_total", out, method="average", bound=products).drop("_total")
 
 
 def family_popularity_rank(df: DataFrame, products: DataFrame | None = None) -> DataFrame:
-    ranks = family_ranks(df).drop("family_avg_sales")
+    ranks = family_ranks(df, products=products).drop("family_avg_sales")
     return join_dim(df, ranks, "family", "left", bound=products)
 
 
@@ -161,7 +162,7 @@ def join_back_aggregates(df: DataFrame, stores: DataFrame | None = None,
     """
     means = group_means(df, "store_id", "store_avg_daily_sales").drop("_total")
     out = join_dim(store_product_avg(df), means, "store_id", "left", bound=stores)
-    out = join_dim(out, family_ranks(df), "family", "left", bound=products)
+    out = join_dim(out, family_ranks(df, products=products), "family", "left", bound=products)
     return sales_vs_store_avg(out)
 
 

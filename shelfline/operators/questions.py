@@ -75,13 +75,13 @@ def store_totals(fact: DataFrame) -> DataFrame:
                                          (F.sum("s") / F.sum("n")).alias("avg_daily_sales"))
 
 
-def store_revenue_rank(fact: DataFrame) -> DataFrame:
-    return with_rank(store_totals(fact), "total_revenue", "revenue_rank")
+def store_revenue_rank(fact: DataFrame, stores: DataFrame | None = None) -> DataFrame:
+    return with_rank(store_totals(fact), "total_revenue", "revenue_rank", bound=stores)
 
 
 def q05_store_ranking(fact: DataFrame, dim_store: DataFrame, stores: DataFrame | None = None) -> DataFrame:
     places = dim_store.select("store_key", "store_id", "city", "store_type", "store_size")
-    return (join_dim(store_revenue_rank(fact), places, "store_key", bound=stores)
+    return (join_dim(store_revenue_rank(fact, stores), places, "store_key", bound=stores)
             .select("store_id", "city", "store_type", "store_size", "total_revenue", "avg_daily_sales",
                     "revenue_rank").orderBy(F.desc("total_revenue"), "store_id"))
 

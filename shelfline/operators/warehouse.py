@@ -33,8 +33,8 @@ def store_metrics(df: DataFrame) -> DataFrame:
         round_scaled(F.col("zero_share") * 100, 2).alias("stockout_rate"))
 
 
-def product_metrics(df: DataFrame) -> DataFrame:
-    ranked = with_rank(_metrics(df, "family"), "total_revenue", "rank", method="average")
+def product_metrics(df: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    ranked = with_rank(_metrics(df, "family"), "total_revenue", "rank", method="average", bound=products)
     return ranked.select("family", "avg_daily_sales", "total_revenue",
                          round_exact(F.col("zero_share") * 100, 2).alias("stockout_rate"),
                          F.col("rank").cast("int").alias("popularity_rank"))
@@ -205,7 +205,7 @@ def update_store_metrics(dim_store: DataFrame, panel: DataFrame, stores: DataFra
 
 
 def update_product_metrics(dim_product: DataFrame, panel: DataFrame) -> DataFrame:
-    return _update(dim_product, product_metrics(panel), "family", {
+    return _update(dim_product, product_metrics(panel, dim_product), "family", {
         "avg_daily_sales": "decimal(12,2)", "total_revenue": "decimal(15,2)", "stockout_rate": "decimal(5,2)",
         "popularity_rank": "int"}, bound=dim_product)
 

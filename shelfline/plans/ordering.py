@@ -1,6 +1,6 @@
 """Exact quantiles, ranks and row numbers over a whole table without a one-task sort.
 
-Quantiles and ranks first count the rows of each distinct value, so a value that holds a large share of
+Quantiles and ranks over tables of unknown size first count the rows of each distinct value, so a value that holds a large share of
 the table is one row from then on. The distinct values are cut into buckets at approximate quantiles,
 running counts are taken inside each bucket in parallel, and an offset from the bucket totals (at most
 ``buckets`` rows) is added. The cuts only balance the work; the results are exact whatever they are.
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfline.plans.sizing import is_small
 from shelfline.plans.staging import Stage, WrittenTables
 
 BUCKETS = 64
@@ -50,12 +51,19 @@ def exact_quantile(df: DataFrame, column: str, q: float, buckets: int = BUCKETS)
     return ends.select((F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_t")).alias("quantile"))
 
 
-def with_rank(df: DataFrame, key: str, out: str, method: str = "min", buckets: int = BUCKETS) -> DataFrame:
+def with_rank(df: DataFrame, key: str, out: str, method: str = "min", bound: DataFrame | None = None,
+              buckets: int = BUCKETS) -> DataFrame:
     """Rank by ``key``, largest first. ``min`` gives SQL RANK, ``average`` the mean rank of ties.
 
-    Ranks belong to values; rows find theirs by an equi-join, where adaptive execution splits a value that
-    many rows share. Rows with a null key are left out.
+    If the rows are bounded by a table of checked small size (``bound``), one task ranks them. Otherwise
+    ranks are found per distinct value, and rows get theirs by an equi-join, where adaptive execution
+    splits a value that many rows share. Rows with a null key are left out.
     """
+    if is_small(bound):
+        first = F.rank().over(Window.partitionBy().orderBy(F.col(key).desc()))
+        ties = F.count(F.lit(1)).over(Window.partitionBy(key))
+        rank = first + (ties - 1) / 2.0 if method == "average" else first.cast("long")
+        return df.where(F.col(key).isNotNull()).withColumn(out, rank)
     spans = _value_spans(df, key, descending=True, buckets=buckets)
     rank = F.col("_lo") + (F.col("_n") + 1) / 2.0 if method == "average" else (F.col("_lo") + 1).cast("long")
     ranks = spans.select(F.col("_v").alias("_key"), rank.alias(out))

@@ -752,7 +752,7 @@ def family_popularity_rank(b):
 
 @query
 def store_revenue_rank(b):
-    return qs.store_revenue_rank(b.house.fact)
+    return qs.store_revenue_rank(b.house.fact)  # no bound given: the distributed rank
 
 
 @query

@@ -26,15 +26,20 @@ def test_quantile_of_nothing_is_null(spark):
 
 
 @pytest.mark.parametrize("method", ["min", "average"])
-def test_rank_with_ties(spark, method):
+@pytest.mark.parametrize("bounded", [True, False])
+def test_rank_with_ties(spark, tmp_path, method, bounded):
+    bound = None
+    if bounded:
+        spark.range(500).write.parquet(str(tmp_path / "b"))
+        bound = spark.read.parquet(str(tmp_path / "b"))
     values = pd.DataFrame({"k": range(500), "v": rng.integers(0, 40, 500).astype(float)})
-    got = with_rank(spark.createDataFrame(values), "v", "r", method, buckets=8).toPandas().sort_values("k")
+    got = with_rank(spark.createDataFrame(values), "v", "r", method, bound, buckets=8).toPandas().sort_values("k")
     assert got["r"].tolist() == values["v"].rank(ascending=False, method=method).tolist()
 
 
 def test_two_equal_totals_share_rank_one_and_a_half(spark):
     frame = spark.createDataFrame([("a", 5.0), ("b", 5.0), ("c", 1.0)], "k string, v double")
-    got = {r.k: r.r for r in with_rank(frame, "v", "r", "average").collect()}
+    got = {r.k: r.r for r in with_rank(frame, "v", "r", method="average").collect()}
     assert got == {"a": 1.5, "b": 1.5, "c": 3.0}
 
 
