@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -23,15 +24,49 @@ class RawTables:
     cpi: DataFrame | None = None
 
 
-@dataclass
 class Warehouse:
-    dim_date: DataFrame
-    dim_store: DataFrame
-    dim_product: DataFrame
-    dim_economic: DataFrame
-    fact: DataFrame
-    rejects: DataFrame
-    dim_cpi: DataFrame | None = None
+    """The star schema of one load. Each table is built when it is first asked for, and staged."""
+
+    def __init__(self, raw: RawTables, featured: DataFrame, calendar: DataFrame, stage: Stage = lazy):
+        self.raw, self.featured, self.calendar, self.stage = raw, featured, calendar, stage
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return self.stage(dim_date(self.calendar, cleaning.clean_holidays(self.raw.holidays)), "dim_date")
+
+    @cached_property
+    def dim_store(self) -> DataFrame:
+        stores = cleaning.clean_stores(self.raw.stores)
+        return self.stage(warehouse.load_dim_store(stores, self.featured), "dim_store")
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        return self.stage(warehouse.load_dim_product(self.raw.products), "dim_product")
+
+    @cached_property
+    def dim_economic(self) -> DataFrame:
+        prices = cleaning.clean_oil(self.raw.oil)
+        return self.stage(warehouse.load_dim_economic(prices, self.dim_date), "dim_economic")
+
+    @cached_property
+    def dim_cpi(self) -> DataFrame | None:
+        if self.raw.cpi is None:
+            return None
+        rows = warehouse.load_dim_cpi(self.raw.cpi, None if self.stage is lazy else self.stage)
+        return self.stage(rows, "dim_cpi")
+
+    @cached_property
+    def _classified(self) -> DataFrame:
+        return warehouse.classify_fact_rows(self.featured, self.dim_date, self.dim_store, self.dim_product,
+                                            self.raw.stores)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self.stage(warehouse.fact_rows(self._classified), "fact_daily_sales")
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return self.stage(warehouse.fact_rejects(self._classified), "fact_rejects")
 
 
 def clean_flow(raw: RawTables, stage: Stage = lazy) -> DataFrame:
@@ -51,17 +86,7 @@ def warehouse_flow(raw: RawTables, featured: DataFrame | None = None, calendar:
                    stage: Stage = lazy) -> Warehouse:
     """Featured panel to star schema. ``calendar`` defaults to the calendar years of the sales."""
     featured = features_flow(raw, stage=stage) if featured is None else featured
-    days = stage(dim_date(calendar_of(raw.sales) if calendar is None else calendar,
-                          cleaning.clean_holidays(raw.holidays)), "dim_date")
-    stores = cleaning.clean_stores(raw.stores)
-    dim_store = stage(warehouse.load_dim_store(stores, featured), "dim_store")
-    dim_product = stage(warehouse.load_dim_product(raw.products), "dim_product")
-    rows = warehouse.classify_fact_rows(featured, days, dim_store, dim_product, raw.stores)
-    dim_economic = stage(warehouse.load_dim_economic(cleaning.clean_oil(raw.oil), days), "dim_economic")
-    dim_cpi = None if raw.cpi is None else stage(
-        warehouse.load_dim_cpi(raw.cpi, None if stage is lazy else stage), "dim_cpi")
-    return Warehouse(days, dim_store, dim_product, dim_economic, stage(warehouse.fact_rows(rows), "fact_daily_sales"),
-                     stage(warehouse.fact_rejects(rows), "fact_rejects"), dim_cpi)
+    return Warehouse(raw, featured, calendar_of(raw.sales) if calendar is None else calendar, stage)
 
 
 def ml_ready_flow(raw: RawTables, house: Warehouse, staple: str = STAPLE_FAMILY, stage: Stage = lazy) -> DataFrame:

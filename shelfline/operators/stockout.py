@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfline.functions.lookups import ALERT_LEVELS, RISK_LEVELS, SEASON_LABELS, WEEKDAYS
 from shelfline.functions.rounding import round_exact, round_scaled, whole_text
 from shelfline.operators.features import SERIES
-
+from shelfline.plans.staging import Stage, lazy
 
 # The published ordering parameters.
 LEAD_TIME_DAYS, ORDER_CYCLE_DAYS, Z_95, Z_99 = 2, 7, 1.65, 2.33
@@ -99,20 +99,20 @@ def risk_category(score: Column) -> Column:
             .when((score > 50) & (score <= 75), high).when((score > 75) & (score <= 100), critical))
 
 
-def risk_scores(df: DataFrame) -> DataFrame:
+def risk_scores(df: DataFrame, stage: Stage = lazy) -> DataFrame:
     """Risk of each store and family from its zero share, demand, longest streak and volatility.
 
     The attributes travel as ``min`` in the same aggregation, so no join rebuilds them. The three maxima
-    are one scalar row.
+    are one scalar row; a writing ``stage`` keeps the sums per series, so that the panel is read once.
     """
-    stats = df.groupBy(*SERIES).agg(
+    stats = stage(df.groupBy(*SERIES).agg(
         F.count("sales").alias("total_days"), F.sum("is_zero_sale").alias("zero_sale_days"),
         F.avg("sales").alias("avg_sales"), F.sum("sales").alias("total_sales"),
         F.max("consecutive_zeros").alias("max_consecutive_zeros"),
         F.avg("sales_rolling_mean_7d").alias("avg_rolling_mean"),
         F.avg("sales_rolling_std_7d").alias("sales_volatility"),
         F.min("city").alias("city"), F.min("store_type").alias("store_type"),
-        F.min("category").alias("category"), F.min("is_fmcg").alias("is_fmcg"))
+        F.min("category").alias("category"), F.min("is_fmcg").alias("is_fmcg")), "series_stats")
     top = stats.agg(F.struct(F.max("avg_sales").alias("a"), F.max("max_consecutive_zeros").alias("z"),
                              F.max("sales_volatility").alias("v")).alias("top")).scalar()
 

@@ -278,7 +278,7 @@ def alert_ladder(b):
 
 @query
 def risk_category(b):
-    scored = so.risk_scores(b.analysed).select("store_id", "family", (F.col("risk_score") * 2).alias("score"))
+    scored = b.risk.select("store_id", "family", (F.col("risk_score") * 2).alias("score"))
     return scored.withColumn("risk_category", F.coalesce(so.risk_category(F.col("score")), F.lit("none")))
 
 
@@ -446,7 +446,7 @@ def attribute_lookup(b):
 
 @query
 def reorder_with_risk(b):
-    return so.reorder_with_risk(so.reorder_points(b.analysed), so.risk_scores(b.analysed)).select(
+    return so.reorder_with_risk(so.reorder_points(b.analysed), b.risk).select(
         "store_id", "family", "reorder_point_95", "stockout_rate", "risk_score", F.coalesce(
             "risk_category", F.lit("none")).alias("risk_category"))
 
@@ -637,12 +637,12 @@ def stockout_by_month(b):
 
 @query
 def risk_scores(b):
-    return so.risk_scores(b.analysed).fillna("none", ["risk_category"])
+    return so.risk_scores(b.analysed, b.stage).fillna("none", ["risk_category"])
 
 
 @query
 def risk_distribution(b):
-    return so.risk_distribution(so.risk_scores(b.analysed)).fillna("none", ["risk_category"])
+    return so.risk_distribution(b.risk).fillna("none", ["risk_category"])
 
 
 @query
@@ -791,13 +791,13 @@ def top_series(b):
 
 @query
 def top_risks(b):
-    return so.top_risks(so.risk_scores(b.analysed), 20).select("store_id", "family", "city", "stockout_rate",
+    return so.top_risks(b.risk, 20).select("store_id", "family", "city", "stockout_rate",
                                                                "risk_score")
 
 
 @query
 def top_reorders(b):
-    table_ = so.reorder_with_risk(so.reorder_points(b.analysed), so.risk_scores(b.analysed))
+    table_ = so.reorder_with_risk(so.reorder_points(b.analysed), b.risk)
     return so.top_reorders(table_, 50, active_only=True).select("store_id", "family", "avg_daily_demand",
                                                                 "reorder_point_95", "risk_score")
 
@@ -1072,7 +1072,7 @@ def dash_store_stockout_by_product(b):
 
 @query
 def alert_totals(b):
-    return so.alert_totals(so.risk_scores(b.analysed), _alerts(b))
+    return so.alert_totals(b.risk, _alerts(b))
 
 
 @query

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as dt
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfline.operators import flows, forecasting
+from shelfline.operators.stockout import attach_predictions, risk_scores
 from shelfline.operators.panel import densify_panel
 from shelfline.plans.sizing import join_dim
 from shelfline.plans.staging import Stage, WrittenTables, lazy
@@ -102,11 +103,35 @@ def raw_cpi(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("disc") < 0.1, F.col("disc") * 100).alias("pct_change"), "city", "city_price")
 
 
-def raw_tables(spark: SparkSession, d: str, stage: Stage = lazy) -> flows.RawTables:
+class StandIns:
     """The raw inputs; a writing stage turns them into files, as a user of the library would have them."""
-    return flows.RawTables(stage(raw_sales(spark, d), "raw_sales"), stage(raw_stores(spark, d), "raw_stores"),
-                           stage(raw_holidays(spark, d), "raw_holidays"), stage(raw_oil(spark, d), "raw_oil"),
-                           product_seed(spark, PRODUCTS), stage(raw_cpi(spark, d), "raw_cpi"))
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stage: Stage = lazy):
+        self.spark, self.dir, self.stage = spark, sf_dir, stage
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return self.stage(raw_sales(self.spark, self.dir), "raw_sales")
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        return self.stage(raw_stores(self.spark, self.dir), "raw_stores")
+
+    @cached_property
+    def holidays(self) -> DataFrame:
+        return self.stage(raw_holidays(self.spark, self.dir), "raw_holidays")
+
+    @cached_property
+    def oil(self) -> DataFrame:
+        return self.stage(raw_oil(self.spark, self.dir), "raw_oil")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return product_seed(self.spark, PRODUCTS)
+
+    @cached_property
+    def cpi(self) -> DataFrame:
+        return self.stage(raw_cpi(self.spark, self.dir), "raw_cpi")
 
 
 class Bed:
@@ -127,8 +152,8 @@ class Bed:
         return self._made[name]
 
     @property
-    def raw(self) -> flows.RawTables:
-        return self._once("raw", lambda: raw_tables(self.spark, self.dir, self.stage))
+    def raw(self) -> StandIns:
+        return self._once("raw", lambda: StandIns(self.spark, self.dir, self.stage))
 
     @property
     def panel(self) -> DataFrame:
@@ -167,9 +192,12 @@ class Bed:
     @property
     def predicted(self) -> DataFrame:
         """The test year's rows with the stand-in forecast attached."""
-        from shelfline.operators.stockout import attach_predictions
         return attach_predictions(self.analysed, self.predictions)
 
+    @property
+    def risk(self) -> DataFrame:
+        return self._once("risk", lambda: risk_scores(self.analysed, self.stage))
+
     def trees(self):
         """A small boosted-tree model and its training seconds, fitted once."""
         def fit():

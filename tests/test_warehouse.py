@@ -125,8 +125,8 @@ def test_format_report(spark):
 
 
 def test_flows_lazy_and_written_agree(spark, tmp_path):
-    from testbed.tables import raw_tables
-    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    from testbed.tables import StandIns
+    raw = StandIns(spark, "/root/testdata/sf0.001")
     lazy = flows.clean_flow(raw)
     written = flows.clean_flow(raw, WrittenTables(spark, str(tmp_path)))
     assert lazy.dtypes == written.dtypes
