@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import time
-from functools import reduce
 
 import numpy as np
 import pandas as pd

@@ -13,11 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfline.operators import (cleaning as cl, encoding as en, features as ft, flows, forecasting as fc,
                                  merging as mg, profiling as pf, questions as qs, reports as rp, stockout as so,
                                  warehouse as wh)
-from shelfline.plans.ordering import exact_quantile
 from shelfline.schemas import CPI, HOLIDAYS, OIL, SALES, STORES
 from shelfline.sources import calendar as ca, readers as rd, sinks as sk
 from shelfline.sources.products import product_seed
-from testbed.tables import PRODUCTS, STAPLE, TEST_FROM, Bed, bed, table
+from testbed.tables import PRODUCTS, TEST_FROM, Bed, bed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from shelfline.operators import cleaning as cl, merging as mg
 from shelfline.schemas import HOLIDAYS, OIL, SALES, STORES

@@ -1,10 +1,6 @@
-import math
 import random
 
-import numpy as np
 import pandas as pd
-import pytest
-from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from shelfline.functions import calendar, lookups, rounding, text

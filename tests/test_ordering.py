@@ -1,7 +1,6 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from shelfline.plans.ordering import exact_quantile, with_rank, with_row_number
 

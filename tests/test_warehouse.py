@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfline import schemas
-from shelfline.operators import features as ft, flows, merging as mg, questions as qs, warehouse as wh
+from shelfline.operators import features as ft, flows, questions as qs, warehouse as wh
 from shelfline.plans.staging import WrittenTables
 from shelfline.sources.calendar import dim_date, generate_calendar
 from shelfline.sources.products import product_seed
