@@ -33,11 +33,23 @@ LOWER_ALNUM = byte_table([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61),
 
 
 class Words(NamedTuple):
-    """Words of some texts: those of text ``i`` are ``codes[starts[i]:starts[i + 1]]``, places in ``vocab``."""
+    """Words of some texts: those of text ``i`` are ``codes[starts[i]:starts[i + 1]]``, places in ``vocab``.
+
+    ``flat`` holds the bytes of all words in turn, word ``k`` from ``ends[k]`` to ``ends[k + 1]``.
+    """
 
     starts: np.ndarray
     codes: np.ndarray
     vocab: pa.BinaryArray
+    flat: np.ndarray
+    ends: np.ndarray
+
+    def spaced(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words in turn, each with a space behind it, and where each begins (and the last ends)."""
+        count = self.codes.size
+        out = np.full(self.flat.size + count, SPACE, np.uint8)
+        out[np.arange(self.flat.size) + np.repeat(np.arange(count), np.diff(self.ends))] = self.flat
+        return out, self.ends.astype(np.int64) + np.arange(count + 1)
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -80,9 +92,10 @@ def split_words(texts: pa.Array, table: np.ndarray) -> Words:
     inside = data != SPACE
     first, last = runs(inside, offsets)
     ends = np.concatenate([[0], np.cumsum(last - first)]).astype(np.int32)
-    words = pa.Array.from_buffers(pa.binary(), first.size, [None, pa.py_buffer(ends), pa.py_buffer(data[inside])])
+    flat = data[inside]
+    words = pa.Array.from_buffers(pa.binary(), first.size, [None, pa.py_buffer(ends), pa.py_buffer(flat)])
     coded = words.dictionary_encode()
-    return Words(np.searchsorted(first, offsets), coded.indices.to_numpy(), coded.dictionary)
+    return Words(np.searchsorted(first, offsets), coded.indices.to_numpy(), coded.dictionary, flat, ends)
 
 
 def hash_words(vocab: pa.BinaryArray) -> np.ndarray:

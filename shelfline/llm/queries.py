@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers as tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfline.llm.byte_bpe import decode, encode
 from shelfline.llm.minhash import near_duplicates
+from shelfline.llm.substrings import remove_repeats
+from shelfline.llm.token_files import read_token_files, write_token_files
+from shelfline.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,3 +32,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_near_duplicates(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query
+def op3_token_files(spark, sf_dir):
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
+    parts = write_token_files(_table(spark, sf_dir, "documents"), folder, tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_token_files(spark, folder, parts).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op5_substrings(spark, sf_dir):
+    return remove_repeats(_table(spark, sf_dir, "documents"), window=20).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_byte_bpe(spark, sf_dir):
+    path = tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, tokenizers.PATTERN)
+    return decode(encoded.drop("text"), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
