@@ -98,9 +98,10 @@ def split_words(texts: pa.Array, table: np.ndarray) -> Words:
     return Words(np.searchsorted(first, offsets), coded.indices.to_numpy(), coded.dictionary, flat, ends)
 
 
-def hash_words(vocab: pa.BinaryArray) -> np.ndarray:
+def hash_words(vocab: pa.BinaryArray | list[str]) -> np.ndarray:
     """64-bit hash of each word."""
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, vocab.to_pylist()), np.uint64, len(vocab))
+    words = vocab if isinstance(vocab, list) else vocab.to_pylist()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -6,12 +6,14 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers as tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfline.llm.byte_bpe import decode, encode
 from shelfline.llm.minhash import near_duplicates
+from shelfline.llm.positions import contamination
 from shelfline.llm.substrings import remove_repeats
 from shelfline.llm.token_files import read_token_files, write_token_files
+from shelfline.llm.toxicity import score, train
 from shelfline.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +58,23 @@ def op9_byte_bpe(spark, sf_dir):
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def _remainder(of: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of))
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(_remainder(4) != 2).select("doc_id", F.col("toxic").alias("label"))
+    scored = score(docs, train(docs, labels))
+    return scored.select("doc_id", (_remainder(4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op7_decontamination(spark, sf_dir):
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
