@@ -1,4 +1,4 @@
-"""Connected components over an edge table, as rounds of joins over written tables."""
+"""Connected components over an edge table, by contracting it over written tables."""
 
 from __future__ import annotations
 
@@ -8,24 +8,27 @@ from shelfline.plans.staging import Stage
 
 
 def components(edges: DataFrame, stage: Stage) -> DataFrame:
-    """(vertex, label): the smallest vertex reachable over ``edges`` (a, b). Vertices without an edge are left out.
+    """(vertex, label): one label, a vertex of the component, for all of it. Vertices without an edge are left out.
 
-    Each round takes the smallest label among the neighbours and then the label of that label, so a chain halves
-    and a star is done at once. Minima are combined before the shuffle, so a vertex with many edges is no hot key.
+    In each round a vertex takes its smallest neighbour, and that one's, if they are smaller; edges are renamed
+    accordingly, and those within one name go. A star is done in one round, a chain halves. Minima are combined before
+    the shuffle, so a vertex with many edges is no hot key; what is left of the edges shrinks from round to round.
     """
-    both = edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select("b", "a")).distinct()
-    both = stage(both, "edges")
-    labels = stage(both.groupBy(F.col("a").alias("vertex"))
-                   .agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    while True:
-        near = (both.join(labels, both.b == labels.vertex).groupBy(F.col("a").alias("vertex"))
-                .agg(F.min("label").alias("near")))
-        lower = labels.join(near, "vertex").select(
-            "vertex", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        lower = stage(lower, "lower")
-        heads = lower.select(F.col("vertex").alias("_v"), F.col("label").alias("_l"))
-        new = stage(lower.join(heads, F.col("label") == F.col("_v"), "left")
-                    .select("vertex", "old", F.coalesce("_l", "label").alias("label")), "labels")
-        labels = new.select("vertex", "label")
-        if new.where("label <> old").isEmpty():
-            return labels
+    left = stage(edges.where("a <> b").select("a", "b").distinct(), "edges")
+    rounds: list[DataFrame] = []
+    while not rounds or not left.isEmpty():
+        both = left.union(left.select("b", "a"))
+        near = stage(both.groupBy(F.col("a").alias("vertex")).agg(F.least(F.min("a"), F.min("b")).alias("near")), "near")
+        heads = near.select(F.col("vertex").alias("_v"), F.col("near").alias("_n"))
+        names = stage(near.join(heads, F.col("near") == F.col("_v")).select("vertex", F.col("_n").alias("label")), "names")
+        rounds.append(names)
+        new_a = names.select(F.col("vertex").alias("a"), F.col("label").alias("_a"))
+        new_b = names.select(F.col("vertex").alias("b"), F.col("label").alias("_b"))
+        left = stage(left.join(new_a, "a").join(new_b, "b").where("_a <> _b")
+                     .select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "edges")
+    out = rounds.pop()
+    while rounds:
+        later = out.select(F.col("vertex").alias("_v"), F.col("label").alias("_l"))
+        out = (rounds.pop().join(later, F.col("label") == F.col("_v"), "left")
+               .select("vertex", F.coalesce("_l", "label").alias("label")))
+    return out
