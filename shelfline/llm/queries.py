@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfline.llm import classes
+from shelfline.llm import classes, rules as quality
 from shelfline.llm.byte_bpe import decode, encode
 from shelfline.llm.minhash import near_duplicates
 from shelfline.llm.positions import contamination
@@ -86,3 +86,11 @@ def op10_class_scores(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = classes.score(docs, _remainder(5) != 1)
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op6_quality_rules(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    rules = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return quality.judge(docs.select("doc_id", "text"), rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
