@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfline.llm import classes, rules as quality
+from shelfline.llm import classes, pii, rules as quality
 from shelfline.llm.byte_bpe import decode, encode
 from shelfline.llm.minhash import near_duplicates
 from shelfline.llm.positions import contamination
@@ -94,3 +94,15 @@ def op6_quality_rules(spark, sf_dir):
     rules = quality.train(docs, _table(spark, sf_dir, "labels"))
     return quality.judge(docs.select("doc_id", "text"), rules).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op8_personal_data(spark, sf_dir):
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    counts = {f"n_{kind}": F.size(F.filter("base", _is(kind))).cast("long") for kind in pii.KINDS}
+    return found.withColumns(counts).select("doc_id", *counts, F.sha2(pii.told(F.col("base")), 256).alias("base_sha256"),
+                                            pii.told(F.col("spans")).alias("spans"))
+
+
+def _is(kind: str) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == kind
