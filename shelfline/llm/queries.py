@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfline.llm import classes, pii, rules as quality
+from shelfline.llm import classes, licenses, pii, rules as quality
 from shelfline.llm.byte_bpe import decode, encode
 from shelfline.llm.minhash import near_duplicates
 from shelfline.llm.positions import contamination
@@ -106,3 +106,60 @@ def op8_personal_data(spark, sf_dir):
 
 def _is(kind: str) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == kind
+
+
+@query
+def op4_licenses(spark, sf_dir):
+    found = licenses.scan(_table(spark, sf_dir, "documents"), licenses.known_notices(spark))
+    return found.select("doc_id", F.coalesce("whole_license", F.lit("")).alias("whole_license"),
+                        F.array_join("licenses", ",").alias("licenses"))
+
+
+def _plain_sql(text: str) -> str:
+    out = f"(' ' || regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' ')"
+    for old, new in licenses.EQUIVALENTS:
+        out = f"replace({out}, ' {old} ', ' {new} ')"
+    return f"trim({out})"
+
+
+def _lines_sql(text: str) -> str:
+    kept = f"list_filter(string_split(coalesce({text}, ''), chr(10)), x -> NOT regexp_matches(lower(x), '{licenses.COPYRIGHT}'))"
+    return f"list_filter(list_transform({kept}, x -> {_plain_sql('x')}), x -> x <> '')"
+
+
+_NOTICES_SQL = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.NOTICES)
+ORACLES["op4_licenses"] = f"""
+WITH known AS (SELECT DISTINCT license, regexp_replace(array_to_string({_lines_sql("text")}, ' '), ' +', ' ', 'g') AS t
+               FROM (VALUES {_NOTICES_SQL}) AS v(license, text)),
+lines AS (SELECT doc_id, {_lines_sql("text")} AS l FROM documents),
+units AS (SELECT doc_id, true AS w, array_to_string(l, ' ') AS t FROM lines
+          UNION ALL SELECT doc_id, false, unnest(l) FROM lines),
+found AS (SELECT u.doc_id, u.w, k.license FROM units u JOIN known k ON regexp_replace(u.t, ' +', ' ', 'g') = k.t),
+per AS (SELECT doc_id, min(CASE WHEN w THEN license END) AS wl, array_to_string(list_sort(list(DISTINCT license)), ',') AS ls
+        FROM found GROUP BY doc_id)
+SELECT d.doc_id, coalesce(p.wl, '') AS whole_license, coalesce(p.ls, '') AS licenses FROM documents d LEFT JOIN per p USING (doc_id)"""
+
+ORACLES["op5_substrings"] = r"""
+WITH words AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), x -> x <> '') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM words WHERE len(w) >= 20),
+windows AS (SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(w[s:s + 19], ' ') ORDER BY doc_id, s) AS n FROM starts),
+gone AS (SELECT DISTINCT doc_id, s + unnest(range(0, 20)) AS k FROM windows WHERE n > 1),
+lost AS (SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(ks), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(list_transform(list_filter(range(1, len(w) + 1), i -> ks IS NULL OR NOT list_contains(ks, i)), i -> w[i]), ' ')) AS kept_sha256
+FROM words d LEFT JOIN lost USING (doc_id)"""
+
+ORACLES["op7_decontamination"] = r"""
+WITH docs AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[ -/:-`{-]+'), x -> x <> '') AS w FROM documents),
+items AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[ -/:-`{-]+'), x -> x <> '') AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS t
+            FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM items WHERE len(w) > 0)),
+places AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS s FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+found AS (SELECT p.doc_id, p.s, p.n, x.item_id FROM places p JOIN windows x ON x.n = p.n AND x.t = array_to_string(p.w[p.s:p.s + p.n - 1], ' ')),
+hits AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, s + unnest(range(0, n)) AS k FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids FROM found GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
