@@ -20,7 +20,7 @@ from shelfline.session import ensure_checkpoint_dir
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base checks and the learned decision list keep."""
     learned = rules.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return rules.judge(docs, learned).where("kept").select(docs.columns)
+    return rules.keep(docs, learned)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

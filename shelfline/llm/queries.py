@@ -123,8 +123,8 @@ def _plain_sql(text: str) -> str:
 
 
 def _lines_sql(text: str) -> str:
-    kept = f"list_filter(string_split(coalesce({text}, ''), chr(10)), x -> NOT regexp_matches(lower(x), '{licenses.COPYRIGHT}'))"
-    return f"list_filter(list_transform({kept}, x -> {_plain_sql('x')}), x -> x <> '')"
+    kept = f"list_filter(string_split(coalesce({text}, ''), chr(10)), lambda x: NOT regexp_matches(lower(x), '{licenses.COPYRIGHT}'))"
+    return f"list_filter(list_transform({kept}, lambda x: {_plain_sql('x')}), lambda x: x <> '')"
 
 
 _NOTICES_SQL = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.NOTICES)
@@ -140,20 +140,20 @@ per AS (SELECT doc_id, min(CASE WHEN w THEN license END) AS wl, array_to_string(
 SELECT d.doc_id, coalesce(p.wl, '') AS whole_license, coalesce(p.ls, '') AS licenses FROM documents d LEFT JOIN per p USING (doc_id)"""
 
 ORACLES["op5_substrings"] = r"""
-WITH words AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), x -> x <> '') AS w FROM documents),
+WITH words AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM words WHERE len(w) >= 20),
 windows AS (SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(w[s:s + 19], ' ') ORDER BY doc_id, s) AS n FROM starts),
 gone AS (SELECT DISTINCT doc_id, s + unnest(range(0, 20)) AS k FROM windows WHERE n > 1),
 lost AS (SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(ks), 0)::BIGINT AS n_removed,
-       sha256(array_to_string(list_transform(list_filter(range(1, len(w) + 1), i -> ks IS NULL OR NOT list_contains(ks, i)), i -> w[i]), ' ')) AS kept_sha256
+       sha256(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: ks IS NULL OR NOT list_contains(ks, i)), lambda i: w[i]), ' ')) AS kept_sha256
 FROM words d LEFT JOIN lost USING (doc_id)"""
 
 ORACLES["op7_decontamination"] = r"""
 WITH docs AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                  '[ -/:-`{-]+'), x -> x <> '') AS w FROM documents),
+                  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 items AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                  '[ -/:-`{-]+'), x -> x <> '') AS w FROM benchmark),
+                  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
 windows AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS t
             FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM items WHERE len(w) > 0)),
 places AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS s FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),

@@ -203,3 +203,13 @@ def judge(docs: DataFrame, rules: list[Rule], text: str = "text") -> DataFrame:
     out = text_statistics(docs, text)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+
+
+def keep(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their own columns.
+
+    The filter also looks at a row number, so that it stays above the statistics: pushed below them it would hold
+    all their expressions in one, each as often as it is used.
+    """
+    judged = judge(docs, rules).withColumn("_at", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("_at") >= 0)).select(docs.columns)

@@ -8,6 +8,7 @@ tasks that write need not know of each other.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 from contextlib import closing
 from functools import lru_cache
@@ -42,7 +43,7 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.by_word = word_local(description)
-        self.kept: dict[bytes, list[int]] = {}
+        self.kept: dict[bytes, bytes] = {}
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
@@ -58,13 +59,15 @@ class WordEncoder:
         vocab = words.vocab.to_pylist()
         found = [self.kept.get(w) for w in vocab]
         new = [k for k, x in enumerate(found) if x is None]
-        for k, ids in zip(new, self._batch([vocab[k].decode("utf-8", "replace") for k in new]), strict=True):
-            found[k] = ids
-            if len(self.kept) < KEPT_WORDS:
-                self.kept[vocab[k]] = ids
-        found.append([end_id])
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, counts.sum())
+        for first in range(0, len(new), 20_000):
+            some = new[first:first + 20_000]
+            for k, ids in zip(some, self._batch([vocab[k].decode("utf-8", "replace") for k in some]), strict=True):
+                found[k] = array("I", ids).tobytes()
+                if len(self.kept) < KEPT_WORDS:
+                    self.kept[vocab[k]] = found[k]
+        found.append(array("I", [end_id]).tobytes())
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), np.uint32)
         starts = np.cumsum(counts) - counts
         codes = np.insert(words.codes.astype(np.int64), words.starts[1:], len(vocab))
         sizes = counts[codes]
