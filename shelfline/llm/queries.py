@@ -141,13 +141,14 @@ SELECT d.doc_id, coalesce(p.wl, '') AS whole_license, coalesce(p.ls, '') AS lice
 
 ORACLES["op5_substrings"] = r"""
 WITH words AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM words WHERE len(w) >= 20),
-windows AS (SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(w[s:s + 19], ' ') ORDER BY doc_id, s) AS n FROM starts),
+tokens AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS k, unnest(w) AS x, len(w) AS n FROM words),
+starts AS (SELECT doc_id, k AS s, n, string_agg(x, ' ') OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS t FROM tokens),
+windows AS (SELECT doc_id, s, row_number() OVER (PARTITION BY t ORDER BY doc_id, s) AS n FROM starts WHERE s + 19 <= n),
 gone AS (SELECT DISTINCT doc_id, s + unnest(range(0, 20)) AS k FROM windows WHERE n > 1),
-lost AS (SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id)
-SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(ks), 0)::BIGINT AS n_removed,
-       sha256(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: ks IS NULL OR NOT list_contains(ks, i)), lambda i: w[i]), ' ')) AS kept_sha256
-FROM words d LEFT JOIN lost USING (doc_id)"""
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY k) AS t FROM tokens ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
 ORACLES["op7_decontamination"] = r"""
 WITH docs AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
