@@ -118,7 +118,7 @@ def learn(rows: DataFrame, label: str = "bad", features: list[str] = FEATURES, k
     table = rows.where(F.col(label).isNotNull()).select(
         F.pmod(F.xxhash64(F.col(key), F.lit("part")), F.lit(3)).alias("_part"), F.col(label).cast("int").alias("_bad"),
         *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
-    table = stage(table.coalesce(4), "labelled")
+    table = stage(table.repartition(4), "labelled")  # a shuffle of numbers, so the texts are read in parallel
     grow, prune = table.where("_part <> 0"), table.where("_part = 0")
     probes = [i / BINS for i in range(BINS + 1)]
     cuts = {f: sorted(set(q)) for f, q in zip(features, grow.approxQuantile(features, probes, 0.001), strict=True)}
