@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfline.functions.lookups import CODE_BY_CATEGORY, CODE_BY_STORE_TYPE, STAPLE_FAMILY, lookup
 from shelfline.operators.cleaning import clip_negative, fill_critical_nulls, fill_numeric_nulls
-from shelfline.operators.features import family_ranks
+from shelfline.operators.features import family_ranks, series_sums
 from shelfline.plans.sizing import join_dim
+from shelfline.plans.staging import Stage, lazy
 
 
 def encode_store_type(df: DataFrame) -> DataFrame:
@@ -18,11 +19,11 @@ def encode_category(df: DataFrame) -> DataFrame:
     return df.withColumn("category_encoded", lookup(F.col("category"), CODE_BY_CATEGORY, 0))
 
 
-def encode_family_rank(df: DataFrame, products: DataFrame | None = None) -> DataFrame:
+def encode_family_rank(df: DataFrame, stage: Stage = lazy) -> DataFrame:
     """Average rank of the family's total sales, cut to an integer."""
-    ranks = family_ranks(df.select("store_id", "family", F.col("sales").cast("double").alias("sales")), "_rank",
-                         products)
-    joined = join_dim(df, ranks.select("family", "_rank"), "family", "left", bound=products)
+    sums = stage(series_sums(df.select("store_id", "family", F.col("sales").cast("double").alias("sales"))), "family_sums")
+    ranks = family_ranks(sums, "_rank").select("family", "_rank")
+    joined = join_dim(df, ranks, "family", "left", bound=sums)
     return joined.withColumn("family_encoded", F.coalesce(F.col("_rank").cast("int"), F.lit(0))).drop("_rank")
 
 
@@ -35,8 +36,8 @@ def interaction_features(df: DataFrame, staple: str = STAPLE_FAMILY) -> DataFram
     })
 
 
-def build_ml_ready(star: DataFrame, products: DataFrame | None = None, staple: str = STAPLE_FAMILY) -> DataFrame:
+def build_ml_ready(star: DataFrame, staple: str = STAPLE_FAMILY, stage: Stage = lazy) -> DataFrame:
     """Quality repairs, encodings and interactions on the star query's rows."""
     df = clip_negative(fill_critical_nulls(star))
-    df = encode_category(encode_family_rank(encode_store_type(df), products))
+    df = encode_category(encode_family_rank(encode_store_type(df), stage))
     return fill_numeric_nulls(interaction_features(df, staple))

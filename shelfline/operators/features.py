@@ -12,6 +12,7 @@ from shelfline.functions.calendar import date_key, date_parts, season_parts
 from shelfline.operators.cleaning import fill_numeric_nulls
 from shelfline.plans.ordering import with_rank
 from shelfline.plans.sizing import join_dim
+from shelfline.plans.staging import Stage, lazy
 
 SERIES = ["store_id", "family"]
 
@@ -113,24 +114,24 @@ def stockout_features(df: DataFrame) -> DataFrame:
     return consecutive_zeros(zero_sales_last_7d(is_zero_sale(df)))
 
 
-def _series_sums(df: DataFrame) -> DataFrame:
+def series_sums(df: DataFrame) -> DataFrame:
     return df.groupBy(*SERIES).agg(F.sum("sales").alias("_sum"), F.count("sales").alias("_n"))
 
 
-def group_means(df: DataFrame, key: str, out: str) -> DataFrame:
+def group_means(sums: DataFrame, key: str, out: str) -> DataFrame:
     """Mean of sales per key from the sums per series, so a hot key moves few rows."""
-    return (_series_sums(df).groupBy(key)
-            .agg((F.sum("_sum") / F.sum("_n")).alias(out), F.sum("_sum").alias("_total")))
+    return sums.groupBy(key).agg((F.sum("_sum") / F.sum("_n")).alias(out), F.sum("_sum").alias("_total"))
 
 
-def store_avg_daily_sales(df: DataFrame, stores: DataFrame | None = None) -> DataFrame:
-    means = group_means(df, "store_id", "store_avg_daily_sales").drop("_total")
-    return join_dim(df, means, "store_id", "left", bound=stores)
+def store_avg_daily_sales(df: DataFrame, stage: Stage = lazy) -> DataFrame:
+    sums = stage(series_sums(df), "series_sums")
+    means = group_means(sums, "store_id", "store_avg_daily_sales").drop("_total")
+    return join_dim(df, means, "store_id", "left", bound=sums)
 
 
-def family_avg_sales(df: DataFrame, products: DataFrame | None = None) -> DataFrame:
-    means = group_means(df, "family", "family_avg_sales").drop("_total")
-    return join_dim(df, means, "family", "left", bound=products)
+def family_avg_sales(df: DataFrame, stage: Stage = lazy) -> DataFrame:
+    sums = stage(series_sums(df), "series_sums")
+    return join_dim(df, group_means(sums, "family", "family_avg_sales").drop("_total"), "family", "left", bound=sums)
 
 
 def store_product_avg(df: DataFrame) -> DataFrame:
@@ -142,35 +143,34 @@ def sales_vs_store_avg(df: DataFrame) -> DataFrame:
     return df.withColumn("sales_vs_store_avg", F.col("sales") / base)
 
 
-def family_ranks(df: DataFrame, out: str = "family_popularity_rank",
-                 products: DataFrame | None = None) -> DataFrame:
-    """Family, mean sales and average rank of its total, largest first."""
-    totals = group_means(df, "family", "family_avg_sales")
-    return with_rank(totals, "_total", out, method="average", bound=products).drop("_total")
+def family_ranks(sums: DataFrame, out: str = "family_popularity_rank") -> DataFrame:
+    """Family, mean sales and average rank of its total, largest first, from the sums per series."""
+    totals = group_means(sums, "family", "family_avg_sales")
+    return with_rank(totals, "_total", out, method="average", bound=sums).drop("_total")
 
 
-def family_popularity_rank(df: DataFrame, products: DataFrame | None = None) -> DataFrame:
-    ranks = family_ranks(df, products=products).drop("family_avg_sales")
-    return join_dim(df, ranks, "family", "left", bound=products)
+def family_popularity_rank(df: DataFrame, stage: Stage = lazy) -> DataFrame:
+    sums = stage(series_sums(df), "series_sums")
+    return join_dim(df, family_ranks(sums).drop("family_avg_sales"), "family", "left", bound=sums)
 
 
-def join_back_aggregates(df: DataFrame, stores: DataFrame | None = None,
-                         products: DataFrame | None = None) -> DataFrame:
+def join_back_aggregates(df: DataFrame, stage: Stage = lazy) -> DataFrame:
     """Store, family and series means, the family rank, and sales against the store mean.
 
-    ``stores`` and ``products`` are the tables that bound the number of groups; see ``join_dim``.
+    One table of sums per series serves all of them. Its size bounds the groups of the panel, whatever the dimensions
+    hold, so it decides what may be broadcast.
     """
-    means = group_means(df, "store_id", "store_avg_daily_sales").drop("_total")
-    out = join_dim(store_product_avg(df), means, "store_id", "left", bound=stores)
-    out = join_dim(out, family_ranks(df, products=products), "family", "left", bound=products)
-    return sales_vs_store_avg(out)
+    sums = stage(series_sums(df), "series_sums")
+    means = group_means(sums, "store_id", "store_avg_daily_sales").drop("_total")
+    out = join_dim(store_product_avg(df), means, "store_id", "left", bound=sums)
+    return sales_vs_store_avg(join_dim(out, family_ranks(sums), "family", "left", bound=sums))
 
 
-def build_features(merged: DataFrame, stores: DataFrame | None = None, products: DataFrame | None = None,
-                   exclude_current: bool = False) -> DataFrame:
+def build_features(merged: DataFrame, exclude_current: bool = False, stage: Stage = lazy) -> DataFrame:
     """Calendar, history, season, aggregate and stock-out columns; numeric nulls become 0."""
-    df = stockout_features(history_features(merged, exclude_current))
-    return fill_numeric_nulls(season_flags(calendar_features(join_back_aggregates(df, stores, products))))
+    joined = join_back_aggregates(merged, stage)
+    df = stockout_features(history_features(joined, exclude_current))
+    return fill_numeric_nulls(season_flags(calendar_features(df)))
 
 
 def panel_verification(df: DataFrame) -> DataFrame:

@@ -79,7 +79,7 @@ def clean_flow(raw: RawTables, stage: Stage = lazy) -> DataFrame:
 def features_flow(raw: RawTables, merged: DataFrame | None = None, stage: Stage = lazy) -> DataFrame:
     """Merged panel to the featured panel."""
     merged = clean_flow(raw, stage) if merged is None else merged
-    return stage(features.build_features(merged, raw.stores, raw.products), "featured")
+    return stage(features.build_features(merged, stage=stage), "featured")
 
 
 def warehouse_flow(raw: RawTables, featured: DataFrame | None = None, calendar: DataFrame | None = None,
@@ -92,23 +92,27 @@ def warehouse_flow(raw: RawTables, featured: DataFrame | None = None, calendar:
 def ml_ready_flow(raw: RawTables, house: Warehouse, staple: str = STAPLE_FAMILY, stage: Stage = lazy) -> DataFrame:
     """Star join, quality repairs, encodings and interactions."""
     star = warehouse.star_join(house.fact, house.dim_date, house.dim_store, house.dim_product, raw.stores)
-    return stage(encoding.build_ml_ready(star, raw.products, staple), "ml_ready", ("year",))
+    return stage(encoding.build_ml_ready(star, staple, stage), "ml_ready", ("year",))
 
 
-def run_etl(raw: RawTables, house: Warehouse, path: str) -> DataFrame:
-    """Write the model-ready panel and return a one-row run log; the counts ride on the write itself."""
+def run_etl(raw: RawTables, house: Warehouse, path: str, staple: str = STAPLE_FAMILY) -> DataFrame:
+    """Write the model-ready panel and return a one-row run log; the counts ride on the write itself.
+
+    ``errors`` counts the rows the fact rejected; ``rows_repaired`` those with a null or negative value to mend.
+    """
     spark: SparkSession = raw.sales.sparkSession
     star = warehouse.star_join(house.fact, house.dim_date, house.dim_store, house.dim_product, raw.stores)
     extracted, transformed = Observation("extracted"), Observation("transformed")
-    ready = encoding.build_ml_ready(star.observe(extracted, F.count(F.lit(1)).alias("n")), raw.products)
+    broken = F.col("sales").isNull() | (F.col("sales") < 0)
+    ready = encoding.build_ml_ready(star.observe(extracted, F.count(F.lit(1)).alias("n"), F.count_if(broken).alias("broken")), staple)
     started = time.time()
     ready.observe(transformed, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy("year").parquet(path)
     ended = time.time()
     loaded = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_loaded"))
-    return loaded.select(
+    return loaded.join(house.rejects.agg(F.count(F.lit(1)).alias("errors"))).select(  # one row each
         F.timestamp_seconds(F.lit(started)).alias("start_time"), F.timestamp_seconds(F.lit(ended)).alias("end_time"),
         F.lit(extracted.get["n"]).alias("rows_extracted"), F.lit(transformed.get["n"]).alias("rows_transformed"),
-        "rows_loaded", F.lit(0).alias("errors"))
+        "rows_loaded", F.lit(extracted.get["broken"]).alias("rows_repaired"), "errors")
 
 
 def alerts_flow(ml_ready: DataFrame, predictions: DataFrame | None = None, as_of=None) -> DataFrame:

@@ -210,7 +210,8 @@ def error_histogram(predictions: DataFrame, bins: int = 100) -> DataFrame:
 
 def prediction_sample(predictions: DataFrame, n: int = 5000) -> DataFrame:
     """n rows in the order of a hash of their keys: a sample that repeats on any cluster."""
-    return predictions.orderBy(F.xxhash64(*SERIES, "date"), *SERIES, "date").limit(n)
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in (*SERIES, "date")]).cast("binary"))
+    return predictions.orderBy(digest, *SERIES, "date").limit(n)
 
 
 def timeline_buckets(predictions: DataFrame, groups: int = 100, stage: Stage | None = None) -> DataFrame:

@@ -33,15 +33,17 @@ def store_metrics(df: DataFrame) -> DataFrame:
         round_scaled(F.col("zero_share") * 100, 2).alias("stockout_rate"))
 
 
-def product_metrics(df: DataFrame, products: DataFrame | None = None) -> DataFrame:
-    ranked = with_rank(_metrics(df, "family"), "total_revenue", "rank", method="average", bound=products)
+def product_metrics(df: DataFrame) -> DataFrame:
+    ranked = with_rank(_metrics(df, "family"), "total_revenue", "rank", method="average")
     return ranked.select("family", "avg_daily_sales", "total_revenue",
                          round_exact(F.col("zero_share") * 100, 2).alias("stockout_rate"),
                          F.col("rank").cast("int").alias("popularity_rank"))
 
 
 def stores_with_metrics(stores: DataFrame, metrics: DataFrame) -> DataFrame:
-    return join_dim(stores, metrics, stores["store_nbr"] == metrics["store_id"], "left", bound=stores)
+    """Metrics of the stores in the dimension; the semi-join makes the size of ``stores`` a bound of what is broadcast."""
+    known = join_dim(metrics, stores.select(F.col("store_nbr").alias("store_id")).distinct(), "store_id", "left_semi", bound=stores)
+    return join_dim(stores, known, stores["store_nbr"] == known["store_id"], "left", bound=stores)
 
 
 def load_dim_store(stores: DataFrame, panel: DataFrame) -> DataFrame:
@@ -122,12 +124,6 @@ def product_key_lookup(panel: DataFrame, dim_product: DataFrame) -> DataFrame:
     return join_dim(panel, keys, "family", "left", bound=dim_product)
 
 
-def rejected_families(panel: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Rows per family that the dimension does not hold."""
-    return (product_key_lookup(panel, dim_product).where(F.col("product_key").isNull())
-            .groupBy("family").agg(F.count(F.lit(1)).alias("rejected_rows")))
-
-
 def _out_of_range() -> Column:
     def too_large(column: str) -> Column:
         limit = 1e6 if schemas.fact_decimal_type(column) == "decimal(8,2)" else 1e10
@@ -151,10 +147,13 @@ def classify_fact_rows(panel: DataFrame, dim_date: DataFrame, dim_store: DataFra
 
 
 def fact_rows(classified: DataFrame) -> DataFrame:
-    """The accepted rows in fact form. The key packs day, store and product, so it needs no sort."""
+    """The accepted rows in fact form. The key packs day, store and product in ten digits each, which hold any INT, so
+    it needs no sort and two rows never share it. Negative parts would not fit and are refused."""
     kept = classified.where(F.col("reject_reason").isNull())
-    packed = (F.unix_date("date").cast("long") * F.lit(2 ** 45) + F.col("store_key").cast("long") * F.lit(2 ** 14)
-              + F.col("product_key"))
+    parts = [F.unix_date("date"), F.col("store_key"), F.col("product_key")]
+    ten = F.lit(10 ** 10).cast("decimal(11,0)")
+    checked = [F.when(p >= 0, p.cast("decimal(10,0)")).otherwise(F.raise_error(F.lit("negative key")).cast("decimal(10,0)")) for p in parts]
+    packed = ((checked[0] * ten + checked[1]).cast("decimal(20,0)") * ten + checked[2]).cast("decimal(30,0)")
     return to_warehouse_decimals(kept).select(
         packed.alias("sale_key"), "date_key", "store_key", "product_key",
         "sales", "onpromotion", "onpromotion_count", *schemas.FACT_DECIMALS[1:10], "is_zero_sale",
@@ -205,7 +204,7 @@ def update_store_metrics(dim_store: DataFrame, panel: DataFrame, stores: DataFra
 
 
 def update_product_metrics(dim_product: DataFrame, panel: DataFrame) -> DataFrame:
-    return _update(dim_product, product_metrics(panel, dim_product), "family", {
+    return _update(dim_product, product_metrics(panel), "family", {
         "avg_daily_sales": "decimal(12,2)", "total_revenue": "decimal(15,2)", "stockout_rate": "decimal(5,2)",
         "popularity_rank": "int"}, bound=dim_product)
 

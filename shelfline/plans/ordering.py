@@ -11,18 +11,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfline.plans.sizing import is_small
-from shelfline.plans.staging import Stage, WrittenTables
+from shelfline.plans.staging import Stage, WrittenTables, lazy
 
-BUCKETS = 64
 
+def _buckets(df: DataFrame, buckets: int | None) -> int:
+    """As many as there are shuffle partitions, so the work spreads with the cluster."""
+    return buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-def _value_spans(df: DataFrame, column: str, descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
-    """Distinct values with the half-open range of positions [_lo, _hi) their rows take, and the row count."""
-    counts = (df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_n")))
-    cuts = counts.agg(F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 10000).alias("c")).scalar()
+
+def _value_spans(df: DataFrame, column: str, descending: bool = False, buckets: int | None = None) -> DataFrame:
+    """Distinct values with the half-open range of positions [_lo, _hi) their rows take, and the row count.
+
+    Values keep their type; only the cut points are doubles, as they decide nothing but the bucket.
+    """
+    buckets = _buckets(df, buckets)
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    near = F.col("_v").cast("double")
+    cuts = counts.agg(F.percentile_approx(near, [i / buckets for i in range(1, buckets)], 10000).alias("c")).scalar()
     # never null, so that no null check on the bucket is pushed down to the rows of the table
-    position = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col("_v"))), F.lit(0))
+    position = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < near)), F.lit(0))
     placed = counts.withColumn("_cuts", cuts).withColumn("_bucket", position).drop("_cuts")
 
     totals = placed.groupBy("_bucket").agg(F.sum("_n").alias("_weight"))
@@ -38,8 +45,11 @@ def _value_spans(df: DataFrame, column: str, descending: bool = False, buckets:
             .select("_v", "_n", "_rows", upper.alias("_hi"), (upper - F.col("_n")).alias("_lo")))
 
 
-def exact_quantile(df: DataFrame, column: str, q: float, buckets: int = BUCKETS) -> DataFrame:
-    """One row, column ``quantile``: linear interpolation between the two nearest order statistics."""
+def exact_quantile(df: DataFrame, column: str, q: float, buckets: int | None = None) -> DataFrame:
+    """One row, column ``quantile`` (double): linear interpolation between the two nearest order statistics.
+
+    The order statistics are found in the column's own type; only the interpolated result is a double.
+    """
     position = (F.col("_rows") - 1) * F.lit(float(q))
     low, high = F.floor(position), F.ceil(position)
 
@@ -47,17 +57,18 @@ def exact_quantile(df: DataFrame, column: str, q: float, buckets: int = BUCKETS)
         return F.max(F.when((F.col("_lo") <= index) & (index < F.col("_hi")), F.col("_v")))
 
     ends = _value_spans(df, column, buckets=buckets).agg(
-        value_at(low).alias("_a"), value_at(high).alias("_b"), F.max(position - low).alias("_t"))
+        value_at(low).cast("double").alias("_a"), value_at(high).cast("double").alias("_b"), F.max(position - low).alias("_t"))
     return ends.select((F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_t")).alias("quantile"))
 
 
 def with_rank(df: DataFrame, key: str, out: str, method: str = "min", bound: DataFrame | None = None,
-              buckets: int = BUCKETS) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """Rank by ``key``, largest first. ``min`` gives SQL RANK, ``average`` the mean rank of ties.
 
     If the rows are bounded by a table of checked small size (``bound``), one task ranks them. Otherwise
     ranks are found per distinct value, and rows get theirs by an equi-join, where adaptive execution
-    splits a value that many rows share. Rows with a null key are left out.
+    splits a value that many rows share. Both ways compare keys in their own type and give the same ranks. Rows
+    with a null key are left out.
     """
     if is_small(bound):
         first = F.rank().over(Window.partitionBy().orderBy(F.col(key).desc()))
@@ -67,7 +78,7 @@ def with_rank(df: DataFrame, key: str, out: str, method: str = "min", bound: Dat
     spans = _value_spans(df, key, descending=True, buckets=buckets)
     rank = F.col("_lo") + (F.col("_n") + 1) / 2.0 if method == "average" else (F.col("_lo") + 1).cast("long")
     ranks = spans.select(F.col("_v").alias("_key"), rank.alias(out))
-    return df.join(ranks, F.col(key).cast("double") == F.col("_key")).drop("_key")
+    return df.join(ranks, F.col(key) == F.col("_key")).drop("_key")
 
 
 def with_row_number(df: DataFrame, order: list[str], out: str = "row_number", total: str | None = None,
@@ -75,8 +86,11 @@ def with_row_number(df: DataFrame, order: list[str], out: str = "row_number", to
     """1-based position by ``order`` over the whole table; the columns of ``order`` identify a row.
 
     Rows are range-partitioned on the whole key, so no prefix of it has to fit in one task, and written once
-    with their partition and place in it. Row counts per partition then give each partition's offset.
+    with their partition and place in it, when this is called. Row counts per partition then give each partition's
+    offset. ``lazy`` is refused: the ranges would be drawn anew for the offsets, and might not fit the rows.
     """
+    if stage is lazy:
+        raise ValueError("row numbers need a stage that writes")
     stage = stage or WrittenTables(df.sparkSession)
     placed = stage(df.repartitionByRange(*order).sortWithinPartitions(*order)
                    .withColumn("_id", F.monotonically_increasing_id()), "ordered_rows")

@@ -41,7 +41,8 @@ def export_subset(panel: DataFrame, from_year: int, fraction: float = 0.15, seed
 def export_subset_stable(panel: DataFrame, from_year: int, percent: int = 15,
                          keys: tuple[str, ...] = ("store_id", "family", "date")) -> DataFrame:
     """The same export with the sample decided by the row's keys, so that it repeats on any cluster."""
-    drawn = F.pmod(F.xxhash64(*keys), F.lit(100)) < percent
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).cast("binary"))
+    drawn = F.conv(F.substring(digest, 1, 6), 16, 10).cast("long") % 100 < percent
     return panel.where((F.year("date") >= from_year) | drawn)
 
 

@@ -82,6 +82,11 @@ LAGS = {f"sales_lag_{k}d": f"lag(sales, {k}) {W}" for k in (7, 14, 28)}
 MEANS = {f"sales_rolling_mean_{k}d": f"avg(sales) {window(k)}" for k in (7, 14, 30)}
 STDS = {f"sales_rolling_std_{k}d": f"coalesce(stddev_samp(sales) {window(k)}, 0)" for k in (7, 14)}
 RANGE = {"sales_rolling_max_7d": f"max(sales) {window(7)}", "sales_rolling_min_7d": f"min(sales) {window(7)}"}
+ROW_DIGEST = "md5(concat_ws('|', store_id, family, CAST(CAST(date AS DATE) AS VARCHAR)))"
+DRAWN = f"(year >= 2001 OR CAST('0x' || substr({ROW_DIGEST}, 1, 6) AS BIGINT) % 100 < 15)"
+FACT_MEASURES = ("sales", *(f"sales_lag_{k}d" for k in (7, 14, 28)), *(f"sales_rolling_mean_{k}d" for k in (7, 14, 30)),
+                 "sales_rolling_std_7d", "sales_rolling_std_14d", "sales_trend_7d", "store_avg_daily_sales", "family_avg_sales",
+                 "store_product_avg", "oil_price")
 TREND = {"sales_trend_7d": f"avg(sales) {window(7)} - avg(sales) {window(30)}"}
 
 
@@ -204,7 +209,7 @@ TABLES = {
         item_name, coalesce({dec('national_avg_price', 'DECIMAL(10,2)')}, 0) AS national_avg_price,
         coalesce({dec('pct_change', 'DECIMAL(6,2)')}, 0) AS pct_change, city,
         {dec('city_price', 'DECIMAL(10,2)')} AS city_price FROM raw_cpi""",
-    "fact": f"""SELECT datediff('day', DATE '1970-01-01', date) * 35184372088832 + store_id * 16384 + product_key AS sale_key,
+    "fact": f"""SELECT datediff('day', DATE '1970-01-01', date)::DECIMAL(38,0) * 100000000000000000000 + store_id::DECIMAL(38,0) * 10000000000 + product_key AS sale_key,
         date_key, store_id AS store_key, product_key, {dec('sales')} AS sales, onpromotion, onpromotion_count,
         {', '.join(f"{dec(c)} AS {c}" for c in (*LAGS, *MEANS, *STDS, *TREND))}, is_zero_sale,
         {i('zero_sales_last_7d', 'zero_sales_last_7d')}, {i('consecutive_zeros', 'consecutive_zeros')},
@@ -319,7 +324,7 @@ add(
                       "FROM dim_economic",
     load_dim_cpi=f"SELECT cpi_key, {d()}, year, month, item_id, item_name, {rs('national_avg_price', 'pct_change')}, "
                  f"city, {rs('city_price')} FROM dim_cpi",
-    load_fact=f"""SELECT sale_key, date_key, store_key, product_key, {rs('sales')}, onpromotion, onpromotion_count,
+    load_fact=f"""SELECT CAST(sale_key AS VARCHAR) AS sale_key, date_key, store_key, product_key, {rs('sales')}, onpromotion, onpromotion_count,
         {rs(*LAGS, *MEANS, *STDS, *TREND)}, is_zero_sale, zero_sales_last_7d, consecutive_zeros,
         {rs('store_avg_daily_sales', 'family_avg_sales', 'store_product_avg', 'oil_price')} FROM fact""",
     update_store_metrics=f"""SELECT d.store_key, d.store_id, d.city, d.state, d.store_type, d.store_size, d.cluster,
@@ -399,11 +404,9 @@ add(
     scd_defaults_truncate=f"""SELECT {d()}, year, month, item_id, left(repeat(item_name, 30), 200) AS item_name,
         {rs('national_avg_price')}, {rs('pct_change')}, CASE WHEN month = 2 THEN 'Unknown' ELSE city END AS city,
         {rs('city_price')} FROM dim_cpi""",
-    to_warehouse_decimals=f"""SELECT {KEY}, {r(dec('sales'), 'sales')},
-        {r(dec('sales_rolling_mean_7d'), 'sales_rolling_mean_7d')},
-        {r(dec('sales_rolling_std_7d'), 'sales_rolling_std_7d')},
-        {r(dec('store_avg_daily_sales'), 'store_avg_daily_sales')}, {r(dec('oil_price'), 'oil_price')}, onpromotion,
-        {i('zero_sales_last_7d', 'zero_sales_last_7d')} FROM featured""",
+    to_warehouse_decimals=f"""SELECT {KEY}, {', '.join(r(dec(c), c) for c in FACT_MEASURES)}, onpromotion, onpromotion_count,
+        is_zero_sale, {i('zero_sales_last_7d', 'zero_sales_last_7d')}, {i('consecutive_zeros', 'consecutive_zeros')}
+        FROM featured""",
     period_label_case="""SELECT CASE WHEN is_payday_week = 1 THEN 'Payday Week (1-7)' WHEN is_end_of_month = 1
         THEN 'End of Month (25-31)' ELSE 'Mid Month (8-24)' END AS period, count(*) AS n FROM dim_date GROUP BY 1""",
     format_report="""SELECT family, category, format('{:,}', CAST(round_even(CAST(sum(sales) AS DOUBLE), 0) AS BIGINT))
@@ -432,8 +435,7 @@ add(
     merge_all=f"SELECT * REPLACE ({r('sales', 'sales')}, {r('oil_price', 'oil_price')}, {d()}) FROM merged",
     join_sales_store_inner=f"SELECT {d()}, store_nbr, family, {rs('sales')}, onpromotion, type FROM raw_sales "
                            "JOIN raw_stores USING (store_nbr)",
-    star_join=f"""SELECT {KEY}, day_name, month_name, is_holiday, city, store_size, category, is_perishable, {rs('sales')},
-        consecutive_zeros, {rs('oil_price')} FROM star""",
+    star_join=f"SELECT * REPLACE ({rs(*FACT_MEASURES)}, {d()}) FROM star",
     fact_date_join=f"SELECT quarter, is_holiday, {r('sum(sales)', 'total_sales')} FROM fact JOIN dim_date USING (date_key) "
                    "GROUP BY quarter, is_holiday",
     fact_product_join=f"SELECT category, {r('sum(sales)', 'total_sales')} FROM fact JOIN dim_product USING (product_key) "
@@ -658,7 +660,7 @@ add(
         JOIN (SELECT store_id, family, risk_score FROM risk) k USING (store_id, family) WHERE avg_daily_demand > 0
         ORDER BY k.risk_score DESC, store_id, family LIMIT 50""",
     sort_alerts_by_severity=f"""SELECT alert_level, {KEY}, {rs('avg_daily_demand')} FROM ladder
-        ORDER BY rung, ladder.avg_daily_demand DESC, store_id, family, ladder.date LIMIT 50""",
+        ORDER BY rung, ladder.avg_daily_demand DESC, store_id, family, ladder.date""",
     weekday_order=f"""SELECT day_name, {r('avg(CAST(sales AS DOUBLE))', 'avg_sales')},
         {i('min(day_of_week)', 'day_order')} FROM ready GROUP BY day_name""",
 )
@@ -703,7 +705,7 @@ add(
         {r('sales_rolling_mean_7d', 'normal_daily_demand')},
         {r('CAST(sales_rolling_mean_7d AS DOUBLE) * 7', 'suggested_order_qty')}, 'REORDER NOW' AS alert_status
         FROM fact JOIN dim_store USING (store_key) JOIN dim_product USING (product_key) JOIN dim_date USING (date_key)
-        WHERE consecutive_zeros >= 3 AND is_fmcg = 1 AND sales_rolling_mean_7d > 0 AND full_date =
+        WHERE consecutive_zeros >= 3 AND is_fmcg = 1 AND sales_rolling_mean_7d > 10 AND full_date =
         (SELECT max(full_date) FROM dim_date WHERE date_key IN (SELECT date_key FROM fact))
         ORDER BY sales_rolling_mean_7d DESC, store_id, family LIMIT 30""",
 )
@@ -786,8 +788,12 @@ add(
     flow_warehouse="""SELECT 'accepted' AS outcome, count(*) AS n FROM fact UNION ALL
         SELECT 'unknown_family', count(*) FROM featured WHERE family NOT IN (SELECT family FROM seed)""",
     flow_ml_ready=f"SELECT * REPLACE ({rs(*READY_DOUBLES)}, {d()}) FROM ready",
-    flow_etl_report="""SELECT count(*) AS rows_extracted, count(*) AS rows_transformed, count(*) AS rows_loaded, 0 AS errors
-        FROM ready""",
+    flow_etl_report="""SELECT count(*) AS rows_extracted, count(*) AS rows_transformed, count(*) AS rows_loaded, 0 AS rows_repaired,
+        (SELECT count(*) FROM featured WHERE family NOT IN (SELECT family FROM seed)) AS errors FROM ready""",
+    export_subset=f"SELECT {KEY}, {rs('sales')} FROM ready WHERE {DRAWN}",
+    concat_subset=f"SELECT year, count(*) AS n FROM ready WHERE {DRAWN} GROUP BY year",
+    prediction_sample=f"""SELECT {KEY}, {r('sales', 'actual')}, {r('sales_lag_7d', 'predicted')} FROM analysed
+        WHERE year >= 2001 ORDER BY {ROW_DIGEST}, store_id, family, analysed.date LIMIT 5000""",
     flow_alerts=f"""SELECT store_id, family, city, category, alert_level, alert_reason, {i('consecutive_zeros', 'consecutive_zeros')},
         {rs('avg_daily_demand', 'predicted_demand', 'suggested_order')}, {d()} FROM ladder
         WHERE date = (SELECT max(date) FROM analysed)""",

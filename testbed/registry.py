@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfline.operators import (cleaning as cl, encoding as en, features as ft, flows, forecasting as fc,
                                  merging as mg, profiling as pf, questions as qs, reports as rp, stockout as so,
                                  warehouse as wh)
-from shelfline.schemas import CPI, HOLIDAYS, OIL, SALES, STORES
+from shelfline.schemas import CPI, FACT_DECIMALS, FACT_INTEGERS, HOLIDAYS, OIL, SALES, STORES
 from shelfline.sources import calendar as ca, readers as rd, sinks as sk
 from shelfline.sources.products import product_seed
 from testbed.tables import PRODUCTS, TEST_FROM, Bed, bed, table
@@ -112,7 +112,7 @@ def load_dim_cpi(b):
 
 @query
 def load_fact(b):
-    return b.house.fact
+    return b.house.fact.withColumn("sale_key", F.col("sale_key").cast("string"))
 
 
 @query
@@ -147,8 +147,8 @@ def union_all_counts(b):
 
 @query
 def concat_subset(b):
-    """The seeded sample: whole test year, and a share of the rest that follows the seed."""
-    return _count(sk.export_subset(b.ml_ready.select("year", *SERIES_DAY), TEST_FROM), "year")
+    """Rows of the export by year: the whole test year, and the drawn share of the rest."""
+    return _count(sk.export_subset_stable(b.ml_ready.select("year", *SERIES_DAY), TEST_FROM), "year")
 
 
 # ---- cleaning ---------------------------------------------------------------------------------------------
@@ -261,7 +261,7 @@ def encode_category(b):
 
 @query
 def encode_family_rank(b):
-    return en.encode_family_rank(b.panel, b.raw.products).select(*SERIES_DAY, "family_encoded")
+    return en.encode_family_rank(b.panel).select(*SERIES_DAY, "family_encoded")
 
 
 @query
@@ -330,9 +330,7 @@ def scd_defaults_truncate(b):
 
 @query
 def to_warehouse_decimals(b):
-    return wh.to_warehouse_decimals(b.featured).select(
-        *SERIES_DAY, "sales", "sales_rolling_mean_7d", "sales_rolling_std_7d", "store_avg_daily_sales", "oil_price",
-        "onpromotion", "zero_sales_last_7d")
+    return wh.to_warehouse_decimals(b.featured).select(*SERIES_DAY, *FACT_DECIMALS, *FACT_INTEGERS)
 
 
 @query
@@ -377,9 +375,7 @@ def join_sales_store_inner(b):
 @query
 def star_join(b):
     h = b.house
-    return wh.star_join(h.fact, h.dim_date, h.dim_store, h.dim_product, b.raw.stores).select(
-        *SERIES_DAY, "day_name", "month_name", "is_holiday", "city", "store_size", "category", "is_perishable", "sales",
-        "consecutive_zeros", "oil_price")
+    return wh.star_join(h.fact, h.dim_date, h.dim_store, h.dim_product, b.raw.stores)
 
 
 @query
@@ -435,7 +431,7 @@ def semi_join_in(b):
 
 @query
 def join_back_aggregates(b):
-    return ft.join_back_aggregates(b.panel, b.raw.stores, b.raw.products).drop("onpromotion")
+    return ft.join_back_aggregates(b.panel, b.stage).drop("onpromotion")
 
 
 @query
@@ -580,12 +576,12 @@ def product_metrics(b):
 
 @query
 def store_avg_daily_sales(b):
-    return ft.store_avg_daily_sales(b.panel.select(*SERIES_DAY, "sales"), b.raw.stores)
+    return ft.store_avg_daily_sales(b.panel.select(*SERIES_DAY, "sales"))
 
 
 @query
 def family_avg_sales(b):
-    return ft.family_avg_sales(b.panel.select(*SERIES_DAY, "sales"), b.raw.products)
+    return ft.family_avg_sales(b.panel.select(*SERIES_DAY, "sales"))
 
 
 @query
@@ -595,7 +591,7 @@ def store_product_avg(b):
 
 @query
 def sales_vs_store_avg(b):
-    with_mean = ft.store_avg_daily_sales(b.panel.select(*SERIES_DAY, "sales"), b.raw.stores)
+    with_mean = ft.store_avg_daily_sales(b.panel.select(*SERIES_DAY, "sales"))
     return ft.sales_vs_store_avg(with_mean).select(*SERIES_DAY, "sales_vs_store_avg")
 
 
@@ -746,7 +742,7 @@ def oil_change(b):
 
 @query
 def family_popularity_rank(b):
-    return ft.family_popularity_rank(_panel(b), b.raw.products)
+    return ft.family_popularity_rank(_panel(b))
 
 
 @query
@@ -803,7 +799,7 @@ def top_reorders(b):
 
 @query
 def sort_alerts_by_severity(b):
-    return so.sort_alerts_by_severity(_alerts(b)).limit(50).select("alert_level", *SERIES_DAY, "avg_daily_demand")
+    return so.sort_alerts_by_severity(_alerts(b)).select("alert_level", *SERIES_DAY, "avg_daily_demand")
 
 
 @query
@@ -887,9 +883,8 @@ def q09_payday_effect(b):
 
 @query
 def q10_reorder_alerts(b):
-    """The published limits leave few rows on the stand-in's last day, so the demand limit is 0 here."""
     h = b.house
-    return qs.q10_reorder_alerts(h.fact, h.dim_date, h.dim_store, h.dim_product, stores=b.raw.stores, min_demand=0)
+    return qs.q10_reorder_alerts(h.fact, h.dim_date, h.dim_store, h.dim_product, stores=b.raw.stores)
 
 
 # ---- forecasting ------------------------------------------------------------------------------------------
@@ -1106,7 +1101,7 @@ def flow_ml_ready(b):
 @query
 def flow_etl_report(b):
     return flows.run_etl(b.raw, b.house, f"{b.stage.root}/etl_run").select(
-        "rows_extracted", "rows_transformed", "rows_loaded", "errors")
+        "rows_extracted", "rows_transformed", "rows_loaded", "rows_repaired", "errors")
 
 
 @query

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 
 from shelfline.plans.ordering import exact_quantile, with_rank, with_row_number
+from shelfline.plans.staging import lazy
 
 rng = np.random.default_rng(7)
 HOT = np.concatenate([np.zeros(700), rng.lognormal(3, 2, 300), [1e9]])
@@ -48,3 +49,19 @@ def test_row_number_is_global_and_dense(spark):
     got = got.sort_values(["k", "t"])
     assert got["rn"].tolist() == list(range(1, 301))
     assert set(got["n"]) == {300}
+
+
+@pytest.mark.parametrize("kind", ["decimal(38,0)", "bigint"])
+@pytest.mark.parametrize("bounded", [True, False])
+def test_ranks_of_keys_beyond_doubles(spark, tmp_path, kind, bounded):
+    first = 9007199254740993 if kind == "bigint" else 90071992547409930001
+    rows = spark.createDataFrame([(str(first + k),) for k in (0, 1, 1, 2)], "k string").selectExpr(f"cast(k as {kind}) k")
+    rows.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    got = with_rank(table, "k", "r", bound=table if bounded else None).orderBy("k").collect()
+    assert [r.r for r in got] == [4, 2, 2, 1]
+
+
+def test_row_numbers_refuse_a_lazy_stage(spark):
+    with pytest.raises(ValueError, match="stage that writes"):
+        with_row_number(spark.range(3), ["id"], stage=lazy)

@@ -57,33 +57,36 @@ def ready(series):
                            "day_name": F.date_format("date", "EEEE")}).cache()
 
 
-def test_risk_scores_match_pandas(ready):
-    pdf = ready.toPandas()
-    g = pdf.groupby(["store_id", "family"]).agg(
-        days=("sales", "count"), zeros=("is_zero_sale", "sum"), mean=("sales", "mean"),
-        streak=("consecutive_zeros", "max"), vol=("sales_rolling_std_7d", "mean")).reset_index()
-    rate = (g.zeros / g.days * 100).round(2)
-    score = (rate * .3 + g["mean"] / g["mean"].max() * 100 * .3 + g.streak / g.streak.max() * 100 * .2
-             + g.vol / g.vol.max() * 100 * .2).round(1)
-    got = so.risk_scores(ready).toPandas().sort_values(["store_id", "family"])
-    np.testing.assert_allclose(got.risk_score, score)
-    np.testing.assert_allclose(got.stockout_rate, rate)
+@pytest.fixture(scope="module")
+def two(series):
+    """Two series of four days, small enough to work out by hand."""
+    df = ft.stockout_features(ft.history_features(series({(1, "A"): [4, 0, 0, 8], (2, "B"): [2, 2, 0, 4]})))
+    return df.withColumns({"city": F.lit("c"), "store_type": F.lit("A"), "is_fmcg": F.lit(1), "category": F.lit("FMCG")})
+
+
+def test_risk_scores_by_hand(two, ready):
+    # volatility: mean of the deviations of the days so far, (0 + 2.83 + 2.31 + 3.83) / 4 and (0 + 0 + 1.15 + 1.63) / 4
+    got = {r.store_id: r for r in so.risk_scores(two).collect()}
+    assert (got[1].stockout_rate, got[2].stockout_rate) == (50.0, 25.0)
+    assert got[1].risk_score == 85.0  # 50 * 0.3, and the most of all in the other three
+    assert got[2].risk_score == 43.7  # 25 * 0.3 + 66.67 * 0.3 + 50 * 0.2 + 31.09 * 0.2
     assert so.risk_distribution(so.risk_scores(ready)).agg(F.sum("pct")).first()[0] == pytest.approx(100)
 
 
-def test_reorder_points_match_pandas(ready):
-    g = ready.toPandas().groupby(["store_id", "family"])["sales"]
-    got = so.reorder_points(ready).toPandas().sort_values(["store_id", "family"])
-    safety = (1.65 * g.std() * np.sqrt(2)).round(0)
-    np.testing.assert_allclose(got.safety_stock_95, safety)
-    np.testing.assert_allclose(got.reorder_point_95, (g.mean() * 2 + safety).round(0))
-    np.testing.assert_allclose(got.max_stock_level, ((g.mean() * 7).round(0) + safety).round(0))
-    np.testing.assert_allclose(got.median_demand, g.median())
+def test_reorder_points_by_hand(two):
+    got = {r.store_id: r for r in so.reorder_points(two).collect()}
+    assert (got[1].safety_stock_95, got[2].safety_stock_95) == (9.0, 4.0)  # 8.94 and 3.81 over two days of lead time
+    assert (got[1].reorder_point_95, got[2].reorder_point_95) == (15.0, 8.0)
+    assert (got[1].max_stock_level, got[2].max_stock_level) == (30.0, 18.0)
+    assert (got[1].median_demand, got[2].median_demand) == (2.0, 2.0)
 
 
 def test_reorder_joins_risk_on_shared_partitioning(ready):
-    plan = so.reorder_with_risk(so.reorder_points(ready), so.risk_scores(ready))
-    assert plan.count() == 6
+    joined = so.reorder_with_risk(so.reorder_points(ready), so.risk_scores(ready))
+    assert joined.count() == 6
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    main = plan[:plan.index("Subquery")] if "Subquery" in plan else plan
+    assert main.count("Exchange hashpartitioning(store_id") <= 2  # one for each side's sums, none for the join
 
 
 def test_heatmap_fills_missing_cells(ready):

@@ -73,6 +73,8 @@ def test_fact_types_and_rounding(featured, dims):
 def test_star_join_broadcasts_every_dimension(featured, dims, stores):
     star = wh.star_join(wh.load_fact(featured, *dims, stores), *dims, stores)
     assert len(star.columns) == 53 and star.count() == 8
+    plan = star._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") >= 3
 
 
 def test_store_dimension_defaults(dims):
@@ -132,3 +134,12 @@ def test_flows_lazy_and_written_agree(spark, tmp_path):
     assert lazy.dtypes == written.dtypes
     assert lazy.agg(F.sum("sales"), F.count("*"), F.sum("is_anomaly_day")).first() == \
         written.agg(F.sum("sales"), F.count("*"), F.sum("is_anomaly_day")).first()
+
+
+def test_sale_keys_hold_any_product_and_refuse_negative_ones(spark, featured, dims, stores):
+    classified = wh.classify_fact_rows(featured, *dims, stores)
+    wide = classified.withColumn("product_key", F.col("product_key") + 20_000).withColumn("store_key", F.col("store_key") * 100_000)
+    kept = wh.fact_rows(wide)
+    assert kept.select("sale_key").distinct().count() == kept.count() == 8
+    with pytest.raises(Exception, match="negative key"):
+        wh.fact_rows(classified.withColumn("store_key", F.lit(-1))).select("sale_key").collect()
