@@ -29,7 +29,7 @@ CHANCE = 2.0 ** -BITS
 #: A pair in a bucket joins a group from GROUP on, and is done with the bucket's leader from SURE on. Pairs under
 #: MAYBE are not looked at on their sets: with 160 minima a true 0.8 lies 5 standard errors above it.
 GROUP, SURE, MAYBE = 0.3, 0.75, 0.62
-BLOCK_ITEMS = 2_000_000
+BLOCK_ITEMS, ANCHORS = 2_000_000, 8
 SIGNED = "doc_id long, n_shingles long, cls binary, bands array<long>, sig array<long>"
 
 
@@ -175,8 +175,9 @@ def _sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
         for batch in chunks(batches):
             items = list(shingle_sets(batch, size))
             same = [class_key(x) == key for x, key in zip(items, batch.column("cls").to_pylist(), strict=True)]
-            kept = pa.RecordBatch.from_arrays([batch.column(c) for c in ("grp", "cls", "sig", "blocks")] + [
-                pa.array([x.tobytes() for x in items], pa.binary())], ["grp", "cls", "sig", "blocks", "items"])
+            names = ["grp", "cls", "sig", "blocks", "anchor"]
+            kept = pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [
+                pa.array([x.tobytes() for x in items], pa.binary())], [*names, "items"])
             yield kept.filter(pa.array(same, pa.bool_()))
     return run
 
@@ -226,17 +227,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, stage: S
 
     # sets of all classes in a group; a group of many sets is cut into blocks of bounded size
     sized = groups.join(classes.select("cls", "first_id", "n_shingles", "sig"), "cls")
-    blocks = sized.groupBy("grp").agg((F.ceil(F.sum("n_shingles") / BLOCK_ITEMS)).cast("int").alias("blocks"))
+    blocks = sized.groupBy("grp").agg(F.ceil(F.sum("n_shingles") / BLOCK_ITEMS).cast("int").alias("blocks"),
+                                      F.count(F.lit(1)).alias("members"))
     bins = int(blocks.agg(F.sum("blocks")).first()[0] or 1)
     total = sized.agg(F.sum("n_shingles")).first()[0] or 0
     bins = max(1, min(bins, total // BLOCK_ITEMS + 1)) * 4
-    placed = sized.join(blocks, "grp").drop("n_shingles")
-    texts = docs.join(placed, docs.doc_id == placed.first_id).select("grp", "cls", "sig", "blocks", "text")
-    sets = stage(texts.mapInArrow(_sets(words), "grp binary, cls binary, sig array<long>, blocks int, items binary"), "sets")
-
-    block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("cls"), "blocks")).otherwise(F.lit(0))
+    # a few members of a cut group stand in each of its blocks, so that what hangs together does so across blocks
+    anchor = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("cls", F.lit("anchor")), F.floor(F.col("members") / ANCHORS) + 1) == 0)
+    placed = sized.join(blocks, "grp").withColumn("anchor", anchor).drop("n_shingles", "members")
+    texts = docs.join(placed, docs.doc_id == placed.first_id).select("grp", "cls", "sig", "blocks", "anchor", "text")
+    sets = stage(texts.mapInArrow(_sets(words), "grp binary, cls binary, sig array<long>, blocks int, anchor boolean, items binary"), "sets")
+
+    block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("cls"), "blocks")).otherwise(F.lit(0)).cast("int")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
     place = F.when(F.col("blocks") > 1, F.xxhash64("grp")).otherwise(F.pmod(F.xxhash64("grp"), F.lit(bins)))
-    linked = stage(sets.withColumn("asked", F.lit(True)).groupBy(place.alias("place"), block.alias("block"))
+    dealt = sets.withColumn("block", F.explode(F.when(F.col("anchor"), every).otherwise(F.array(block))))
+    linked = stage(dealt.withColumn("asked", F.lit(True)).groupBy(place.alias("place"), "block")
                    .applyInArrow(_link_blocks(percent), "a binary, b binary"), "links")
     edges = linked.where("a <> b")
     large = sets.where("blocks > 1")
@@ -248,7 +254,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, stage: S
         main = counts.groupBy("grp").agg(F.max_by("part", "n").alias("main"))
         strays = (labelled.join(main, "grp").where("part <> main").select(*large.columns)
                   .withColumn("asked", F.lit(True))
-                  .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).cast("long")))
+                  .withColumn("block", F.explode(every)))
         all_rows = large.withColumn("asked", F.lit(False)).withColumn("block", block).unionByName(strays)
         more = stage(all_rows.groupBy("grp", "block").applyInArrow(_link_blocks(percent), "a binary, b binary"), "cross")
         edges = edges.union(more.where("a <> b"))
