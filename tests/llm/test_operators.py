@@ -1,6 +1,7 @@
 """Each operator on messy rows, empty tables and small made-up cases, against plain Python or the public libraries."""
 
 import base64
+import collections
 import math
 
 import numpy as np
@@ -189,26 +190,40 @@ def test_phrases_and_proximity(spark, messy, nothing):
 
 
 def test_personal_data(spark, messy, nothing):
-    for row in pii.find(messy).collect():
+    tricky = ["a@b.c@d.e", "x@y.zz_w@q.com", "1.2.3.4.5.6.7.8", "001.2.3.4 256.1.1.1", "+1 +12 (345) 678-90123)", "4111-1111-1111-1111 4111111111111112",
+              "9" * 6000, "a" * 6000 + "@", "@" * 3000, "1-" * 3000, "+" + "1." * 3000]
+    texts = dict(TEXTS) | {100 + k: t for k, t in enumerate(tricky)}
+    docs = messy.unionByName(spark.createDataFrame([(100 + k, t) for k, t in enumerate(tricky)], "doc_id long, text string"), allowMissingColumns=True)
+    found = pii.find(docs).collect()
+    assert len(found) == len(TEXTS) + len(tricky)
+    for row in found:
         if row.doc_id is not None:
-            assert [tuple(x) for x in row.base] == plain.base_spans(dict(TEXTS)[row.doc_id])
-    masked = {r.doc_id: r.text for r in pii.mask(messy).collect()}
-    assert masked[13].endswith("mail <EMAIL> or <PHONE> at <IP> with <CARD>.") and masked[4] is None
-    assert pii.mask(messy).columns == messy.columns and pii.mask(messy).count() == len(TEXTS)
+            assert [tuple(x) for x in row.base] == plain.base_spans(texts[row.doc_id]), texts[row.doc_id][:40]
+    masked = pii.mask(messy)
+    assert masked.columns == messy.columns
+    rows = masked.collect()
+    text = {r.doc_id: r.text for r in rows}
+    assert len(rows) == len(TEXTS) and text[13].endswith("mail <EMAIL> or <PHONE> at <IP> with <CARD>.") and text[4] is None
     assert pii.find(nothing).count() == 0
-    tricky = ["a@b.c@d.e", "x@y.zz_w@q.com", "1.2.3.4.5.6.7.8", "001.2.3.4 256.1.1.1", "+1 +12 (345) 678-90123)", "4111-1111-1111-1111 4111111111111112",
-              "9" * 30_000, "a" * 30_000 + "@", "@" * 3000, "1-" * 5000, "+" + "1." * 5000]
-    docs = spark.createDataFrame(list(enumerate(tricky)), "doc_id long, text string")
-    for row in pii.find(docs).collect():
-        assert [tuple(x) for x in row.base] == plain.base_spans(tricky[row.doc_id]), tricky[row.doc_id][:40]
 
 
 def test_contexts_find_unseen_identifiers(spark):
-    rows = [(k, f"please write to desk{k}@firm{k}.example.com today") for k in range(12)]
-    rows += [(100, "please write to desk99@firm99 today"), (101, "the plan is b2b22x today"), (102, "in room desk77@firm77 nobody sits")]
+    rows = [(k, f"please write to a{k}b@firm{k}.example.com today") for k in range(12)]
+    rows += [(100, "please write to a99b@firm99 today"), (101, "the plan is b2b22x today"), (102, "in room desk77-firm77 nobody sits")]
     got = {r.doc_id: [tuple(x) for x in r.spans] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[0] == [("email", 16, 39 - 3)] or got[0][0][0] == "email"
-    assert got[101] == []
+    assert [x[0] for x in got[0]] == ["email"] and got[101] == got[102] == []
+    # an address without a top-level domain is in no base format; its context and make-up are those of the seeds but for the dot
+    assert got[100] in ([], [("email", 16, 27)])
+
+
+def test_confident_patterns_spread(spark):
+    seeds = [("to 9", f"seed{k}", "card", 1) for k in range(8)] + [("to 9", "new", None, 3), ("rare 9", "new", None, 1), ("rare 9", "other", None, 9)]
+    edges = spark.createDataFrame(seeds, "pattern string, instance string, kind string, n int")
+    best = pii._bootstrap(edges, lambda df, name: df).collect()
+    assert best == []  # eight of twelve is not enough
+    strong = spark.createDataFrame([("to 9", f"seed{k}", "card", 1) for k in range(20)] + [("to 9", "new", None, 1)], edges.schema)
+    (row,) = pii._bootstrap(strong, lambda df, name: df).collect()
+    assert (row.pattern, row.kind) == ("to 9", "card") and row.confidence > 0.9
 
 
 def test_byte_bpe_is_tiktoken(messy, nothing):
@@ -234,7 +249,7 @@ def test_class_scores(spark, messy, nothing):
     got = classes.score(messy, train).collect()
     assert len(got) == len(TEXTS)
     tokens = [w for i, t in TEXTS if i is not None and i % 2 == 0 for w in [*plain.lower_words(t), "\n"]]
-    counts = {w: tokens.count(w) for w in set(tokens)}
+    counts = collections.Counter(tokens)
     texts = dict(TEXTS)
     for row in got:
         if row.doc_id is not None:
