@@ -60,6 +60,7 @@ def main() -> None:
         times[key] = timed(run)
     print(json.dumps({"metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": Path(sf_dir).name.removeprefix("sf"), "cpus": cpus}))
+    tables.stage.close()
     spark.stop()
 
 

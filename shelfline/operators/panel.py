@@ -15,7 +15,8 @@ def densify_panel(sales: DataFrame, keys: list[str], date: str = "date",
     """
     measures = measures or {"sales": "double", "onpromotion": "int"}
     daily = sales.groupBy(*keys, date).agg(*[F.sum(m).cast(t).alias(m) for m, t in measures.items()])
-    empty_days = (daily.agg(F.collect_set(date).alias("days"))
+    # the days come from the rows themselves, deduplicated where they are read, not from the shuffled sums
+    empty_days = (sales.select(date).distinct().agg(F.collect_set(date).alias("days"))
                   .select(F.transform("days", lambda day: F.struct(
                       day.alias(date), *[F.lit(0).cast(t).alias(m) for m, t in measures.items()])).alias("rows"))
                   .scalar())

@@ -80,12 +80,14 @@ def oil_profile(oil: DataFrame) -> DataFrame:
 
 
 def cpi_profile(cpi: DataFrame) -> DataFrame:
-    return cpi.agg(F.count(F.lit(1)).alias("row_count"), F.countDistinct("year").alias("years"),
-                   F.countDistinct("city").alias("cities"), F.countDistinct("item_name").alias("items"))
-
-
-def cpi_cities(cpi: DataFrame) -> DataFrame:
-    return cpi.select("city").distinct().orderBy("city")
+    """Rows, years, cities and items, with the sorted lists of years and cities; rows are grouped once, by all three."""
+    groups = cpi.groupBy("year", "city", "item_name").agg(F.count(F.lit(1)).alias("n"))
+    return groups.agg(F.sum("n").alias("row_count"), F.collect_set("year").alias("_y"), F.collect_set("city").alias("_c"),
+                      F.countDistinct("item_name").alias("items")).select(
+        F.coalesce("row_count", F.lit(0)).alias("row_count"), F.size("_y").cast("long").alias("years"),
+        F.size("_c").cast("long").alias("cities"), "items",
+        F.array_join(F.array_sort("_y").cast("array<string>"), ",").alias("year_list"),
+        F.array_join(F.array_sort("_c"), ",").alias("city_list"))
 
 
 def preview_events(holidays: DataFrame, n: int = 10) -> DataFrame:

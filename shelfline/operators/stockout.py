@@ -236,11 +236,6 @@ def alert_volume_by_family(alerts: DataFrame, n: int = 10) -> DataFrame:
             .orderBy(F.desc("suggested_order"), "family").limit(n))
 
 
-def worst_stores(df: DataFrame, n: int) -> DataFrame:
-    return (df.groupBy("store_id").agg(F.avg("is_zero_sale").alias("_rate"))
-            .orderBy(F.desc("_rate"), "store_id").limit(n).select("store_id"))
-
-
 def stockout_heatmap(df: DataFrame, categories: list[str], n: int = 20) -> DataFrame:
     """Zero share by store and category for the n worst stores, one column per category.
 

@@ -35,3 +35,14 @@ class WrittenTables:
         writer = df.write.mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path).select(df.columns)
+
+    def close(self) -> None:
+        """Remove the written tables; frames that read them can't be used any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> WrittenTables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()

@@ -505,13 +505,14 @@ add(
         {r('min(dcoilwtico)', 'min_price')}, {r('max(dcoilwtico)', 'max_price')}, {r('avg(dcoilwtico)', 'avg_price')}
         FROM raw_oil""",
     cpi_profile="""SELECT count(*) AS row_count, count(DISTINCT year) AS years, count(DISTINCT city) AS cities,
-        count(DISTINCT item_name) AS items FROM raw_cpi""",
+        count(DISTINCT item_name) AS items, array_to_string(list_sort(list(DISTINCT year)), ',') AS year_list,
+        array_to_string(list_sort(list(DISTINCT city)), ',') AS city_list FROM raw_cpi""",
     preview_rows="""(SELECT 'event' AS kind, description AS value FROM clean_holidays ORDER BY date, type, description LIMIT 10)
         UNION ALL (SELECT 'item', item_name FROM (SELECT DISTINCT item_name FROM raw_cpi) ORDER BY item_name LIMIT 20)""",
     cpi_city_mean=f"SELECT count(*) AS row_count, {r('avg(city_price)', 'avg_price')} FROM raw_cpi WHERE city = 'NATION_5'",
     cpi_item_monthly=f"""SELECT year, month, {r('avg(city_price)', 'avg_price')},
         year || '-' || lpad(CAST(month AS VARCHAR), 2, '0') AS date_str FROM raw_cpi
-        WHERE lower(item_name) LIKE '%brand#2%' GROUP BY year, month""",
+        WHERE lower(item_name) LIKE '%brand#2%' AND city = 'NATION_5' GROUP BY year, month""",
     daily_sales_total=f"SELECT {d()}, {r('sum(sales)', 'total_sales')} FROM raw_sales GROUP BY raw_sales.date",
     sales_by_month=f"SELECT {i('month(date)', 'month')}, {r('avg(sales)', 'avg_sales')} FROM raw_sales GROUP BY 1",
     sales_by_dow=f"SELECT {i('isodow(date) - 1', 'dow')}, {r('avg(sales)', 'avg_sales')} FROM raw_sales GROUP BY 1",

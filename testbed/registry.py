@@ -520,7 +520,7 @@ def cpi_city_mean(b):
 
 @query
 def cpi_item_monthly(b):
-    return pf.cpi_item_monthly(b.raw.cpi, "brand#2")
+    return pf.cpi_item_monthly(b.raw.cpi, "brand#2", city="NATION_5")
 
 
 @query

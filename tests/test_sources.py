@@ -93,3 +93,11 @@ def test_broadcast_only_under_the_limit(spark, tmp_path, monkeypatch):
     assert "ResolvedHint" in sizing.join_dim(big, dim, "id", bound=dim)._jdf.queryExecution().analyzed().toString()
     monkeypatch.setattr(sizing, "BROADCAST_LIMIT_BYTES", 100)
     assert "ResolvedHint" not in sizing.join_dim(big, dim, "id", bound=dim)._jdf.queryExecution().analyzed().toString()
+
+
+def test_closed_stages_leave_no_files(spark, tmp_path):
+    from shelfline.plans.staging import WrittenTables
+
+    with WrittenTables(spark, str(tmp_path)) as stage:
+        assert stage(spark.range(3), "some").count() == 3 and list(tmp_path.iterdir())
+    assert not list(tmp_path.iterdir())
