@@ -26,7 +26,8 @@ COPYRIGHT = r"^\s*(copyright|\(c\)|©)"
 
 
 def known_notices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(NOTICES, "license string, text string")
+    rows = [F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in NOTICES]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def canonical_lines(text: Column) -> Column:
