@@ -78,7 +78,7 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, (draw, label) in enumerate(zip(batch.column("draw").to_pylist(), batch.column("label").to_pylist(), strict=True)):
             rows.append((draw, label, places[cuts[k]:cuts[k + 1]]))
     rows.sort(key=lambda row: (row[0], row[1], row[2].tobytes()))
-    model = fit([(label, places) for _, label, places in rows]) if rows else {BIAS: 0.0}
+    model = fit([(label, places) for _, label, places in rows])
     yield pa.RecordBatch.from_arrays([pa.array(list(model), pa.int64()), pa.array(list(model.values()), pa.float64())],
                                      ["place", "weight"])
 
@@ -96,7 +96,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> dict[in
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = texts.join(F.broadcast(drawn), "doc_id").select(  # at most ``most`` rows of three numbers
         "text", F.col("draw"), F.col("label").cast("int").alias("label"))
-    return dict(rows.repartition(1).mapInArrow(_train, "place long, weight double").collect())
+    return {BIAS: 0.0} | dict(rows.repartition(1).mapInArrow(_train, "place long, weight double").collect())
 
 
 def _score(model: dict[int, float], names: list[str], text: str, out: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -80,7 +80,8 @@ def test_toxicity(spark, messy, nothing):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(400)] + [(None, 1), (7, None)], "doc_id long, label int")
     model = toxicity.train(docs, labels)
-    assert 1 < len(model) < 500  # sparse
+    seen = set().union(*[set(at.tolist()) for _, at in toxicity.features(pa.array([t for k, t in rows if k < 400]))])
+    assert 1 < len(model) < 0.6 * len(seen)  # the L1 term leaves many features without a weight
     scored = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
     held = [(scored[k] >= 0.3) == (k % 4 == 0) for k in range(400, 600)]
     assert sum(held) / len(held) > 0.97
@@ -183,7 +184,7 @@ def test_phrases_and_proximity(spark, messy, nothing):
                 covered = {k for a, b in zip(row.spans[::2], row.spans[1::2], strict=True) for k in range(a, b)}
                 assert (row.n_words, covered, row["items"]) == (len(flags), {k for k, f in enumerate(flags) if f}, found)
     near = positions.proximity_matches(index, ["mat", "cat", "looked"], 7).where("doc_id < 4").collect()
-    assert sorted(map(tuple, near)) == [(k, 1, 7) for k in (1, 2, 3)] + [(k, 5, 11) for k in (1, 2, 3)]
+    assert sorted(map(tuple, near)) == [(k, *span) for k in (1, 2, 3) for span in ((1, 7), (5, 11))]
     assert positions.proximity_matches(index, ["mat", "absent"], 9).count() == 0
     assert positions.contamination(nothing, bench).count() == 0
     assert positions.contamination(messy, bench.limit(0)).where("contaminated").count() == 0
