@@ -1,9 +1,12 @@
 """Language-model scores from Brown classes: exchange clustering of words, class transitions and word emissions.
 
-The ``WORDS`` most frequent tokens are clustered one by one; all other words are clustered by their ending, in
-``ENDINGS`` groups. So the bigram table has at most ``(WORDS + ENDINGS) ** 2`` cells whatever the corpus, and every
-token of the corpus is in it. The probability of a text is the product of class transitions and of emissions
-P(word | class), with the end of the text as a token of its own that also stands before the first word.
+The ``WORDS`` most frequent tokens are clustered one by one on the driver, together with all other words by their ending in
+``ENDINGS`` groups; that only gives the classes to begin with. Then every word of the whole vocabulary, however rare, is
+exchanged on its own: its neighbours' classes are counted in a table with a row per word, and it moves to the class in
+which they are likeliest, ``PASSES`` times or until that no longer helps. So the clustered vocabulary grows with the corpus, and
+only classes x classes tables and the frequent words are ever gathered. The probability of a text is the product of
+class transitions and of emissions P(word | class), with the end of the text as a token of its own that also stands
+before the first word.
 """
 
 from __future__ import annotations
@@ -13,12 +16,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.llm.arrays import LOWER, Words, chunks, hash_words, list_array, split_words
 from shelfline.plans.staging import Stage, WrittenTables
 
-WORDS, ENDINGS, CLASSES, ROUNDS = 384, 128, 32, 6
+WORDS, ENDINGS, CLASSES, ROUNDS, PASSES = 384, 128, 32, 6, 2
 UNITS = WORDS + ENDINGS
 #: counts of words with more than this share of all tokens are sent to all tasks; so there are fewer of them
 FREQUENT = 3_000_000
@@ -38,57 +42,161 @@ def _endings(words: Words) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of the texts to learn from: key, ending group, count."""
+    """Tokens of the texts to learn from: key and count."""
     for batch in chunks(batches, most=32_000_000):
         words = split_words(batch.column("text"), LOWER)
         keys, n = hash_words(words.vocab).view(np.int64), np.bincount(words.codes, minlength=len(words.vocab))
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.append(keys, END)), pa.array(np.append(_endings(words), -1).astype(np.int32)),
-            pa.array(np.append(n, batch.num_rows))], ["h", "ending", "n"])
+            pa.array(np.append(keys, END)), pa.array(np.append(n, batch.num_rows))], ["h", "n"])
 
 
 class Known(NamedTuple):
-    """What every task needs of the words: keys in order with their counts, and the unit of the clustered ones."""
+    """What every task needs of the words: keys of the frequent ones in order with their counts and groups, and the groups
+    of all others by ending, that of the end of a text last. Groups are units at first, classes later; -1 is that of the ending.
+    """
 
     keys: np.ndarray
     counts: np.ndarray
-    units: np.ndarray
+    groups: np.ndarray
+    endings: np.ndarray
+
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Place of each key, -1 if it is not among the frequent words."""
-        if not self.keys.size:
-            return np.full(keys.size, -1)
-        at = np.minimum(np.searchsorted(self.keys, keys), self.keys.size - 1)
-        return np.where(self.keys[at] == keys, at, -1)
+def _find(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Place of each key in sorted keys, -1 if it is not among them."""
+    if not keys.size:
+        return np.full(asked.size, -1)
+    at = np.minimum(np.searchsorted(keys, asked), keys.size - 1)
+    return np.where(keys[at] == asked, at, -1)
 
 
 def _tokens(batch: pa.RecordBatch, known: Known) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Codes of all tokens with an end after each text, texts' offsets, and per code its key, known place and unit."""
+    """Codes of all tokens with an end after each text, texts' offsets, and per code its key, count in training and group.
+
+    Rare words bring count and class in the columns of the row, if it has them.
+    """
     words = split_words(batch.column("text"), LOWER)
     keys = np.append(hash_words(words.vocab).view(np.int64), END)
-    place = known.find(keys)
-    unit = np.append(WORDS + _endings(words), 0)
+    group = known.endings[np.append(_endings(words), ENDINGS)]
+    count = np.zeros(keys.size, np.int64)
+    place = _find(known.keys, keys)
     held = place >= 0
-    own = known.units[place[held]]
-    unit[held] = np.where(own >= 0, own, unit[held])
+    count[held] = known.counts[place[held]]
+    own = known.groups[place[held]]
+    group[held] = np.where(own >= 0, own, group[held])
+    if "rare" in batch.schema.names:
+        rare, at = np.unique(batch.column("rare").flatten().to_numpy(), return_index=True)
+        place = _find(rare, keys)
+        held = place >= 0
+        at = at[place[held]]
+        count[held] = batch.column("rare_n").flatten().to_numpy()[at]
+        group[held] = batch.column("rare_class").flatten().to_numpy()[at]
     codes = np.insert(words.codes.astype(np.int64), words.starts[1:], len(words.vocab))
-    return codes, words.starts + np.arange(words.starts.size), keys, place, unit
+    return codes, words.starts + np.arange(words.starts.size), keys, count, group
 
 
-def _pairs(known: Known) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _pairs(known: Known, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
-        table = np.zeros(UNITS * UNITS, np.int64)
+        table = np.zeros(size * size, np.int64)
         for batch in chunks(batches):
-            codes, _, _, _, unit = _tokens(batch, known)
-            own = unit[codes]
-            if own.size:
-                before = np.concatenate([[unit[-1]], own[:-1]])  # each text follows an end
-                table += np.bincount(before * UNITS + own, minlength=table.size)
+            codes, _, _, _, group = _tokens(batch, known)
+            own = group[codes]
+            table += np.bincount(np.roll(own, 1) * size + own, minlength=table.size)  # each text follows an end
         cells = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(table[cells])], ["cell", "n"])
     return run
 
 
+def _table(texts: DataFrame, known: Known, size: int) -> np.ndarray:
+    """How often a group follows a group, over all tokens of the texts."""
+    found = (texts.mapInArrow(_pairs(known, size), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))).toArrow()
+    table = np.zeros(size * size, np.int64)
+    table[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return table.reshape(size, size)
+
+
+CONTEXTS = "h long, own short, slots array<short>, times array<int>"
+
+
+def _contexts(known: Known) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each word of a chunk with its class and the counts of the classes before it and (from CLASSES on) after it."""
+    def run(batches):
+        for batch in chunks(batches, most=32_000_000):
+            codes, _, keys, _, group = _tokens(batch, known)
+            own = group[codes]
+            slots, times = np.unique(np.concatenate([codes * (2 * CLASSES) + np.roll(own, 1),
+                                                     codes * (2 * CLASSES) + CLASSES + np.roll(own, -1)]), return_counts=True)
+            seen, first = np.unique(slots // (2 * CLASSES), return_index=True)
+            ends = np.append(first, slots.size)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(keys[seen]), pa.array(group[seen].astype(np.int16)),
+                list_array((slots % (2 * CLASSES)).astype(np.int16), ends, pa.int16()), list_array(times, ends, pa.int32()),
+            ], ["h", "own", "slots", "times"])
+    return run
+
+
+def choose(counts: np.ndarray, own: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Best class of each word, by the counts of the classes before and after it, with the table of all as it stands.
+
+    A word's own counts are taken out of its own class, so that it isn't held there by itself.
+    """
+    left, right = counts[:, :CLASSES], counts[:, CLASSES:]
+    n = left.sum(1)
+    size = table.sum(1)
+    plain = (size + 0.5) / (size.sum() + 0.5 * CLASSES)
+    likely = np.log((table + BACKOFF * plain) / (size[:, None] + BACKOFF))
+    fits = left @ likely + right @ likely.T - n[:, None] * np.log(size + 0.5)
+    rest = np.maximum(size[own] - n, 0)
+    after = np.log((np.maximum(table[own] - right, 0) + BACKOFF * plain) / (rest[:, None] + BACKOFF))
+    before = np.log((np.maximum(table[:, own].T - left, 0) + BACKOFF * plain[own][:, None]) / (size[None] + BACKOFF))
+    fits[np.arange(own.size), own] = (left * before).sum(1) + (right * after).sum(1) - n * np.log(rest + 0.5)
+    return fits.argmax(1)
+
+
+def _moves(table: np.ndarray, fixed: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """New class and count of each word, from rows in order of the word. Words that are ``fixed`` stay."""
+    def settle(rows: pa.Table) -> pa.RecordBatch:
+        h = rows["h"].to_numpy()
+        keys, first, at = np.unique(h, return_index=True, return_inverse=True)
+        sizes = pc.list_value_length(rows["slots"]).to_numpy()
+        slots = pc.list_flatten(rows["slots"]).to_numpy().astype(np.int64)
+        counts = np.bincount(np.repeat(at, sizes) * (2 * CLASSES) + slots, pc.list_flatten(rows["times"]).to_numpy(),
+                             keys.size * 2 * CLASSES).reshape(-1, 2 * CLASSES)
+        own = rows["own"].to_numpy()[first].astype(np.int64)
+        best = np.where(np.isin(keys, fixed), own, choose(counts, own, table))
+        n = counts[:, :CLASSES].sum(1).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(best.astype(np.int16)), pa.array(n)], ["h", "class", "n"])
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h = batch.column("h").to_numpy()
+            last = int(np.searchsorted(h, h[-1]))  # the last word may go on in the next batch
+            if last or (held and held[-1].column("h")[0].as_py() != h[0]):
+                if done := [*held, *([batch.slice(0, last)] if last else [])]:
+                    yield settle(pa.Table.from_batches(done))
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield settle(pa.Table.from_batches(held))
+    return run
+
+
+def _rare(known: Known) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The words of each text, each once, that are not among the frequent ones."""
+    def run(batches):
+        for batch in chunks(batches):
+            words = split_words(batch.column("text"), LOWER)
+            keys = hash_words(words.vocab).view(np.int64)
+            rare = (_find(known.keys, keys) < 0)[words.codes]
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(words.starts))
+            pair = np.unique(owner[rare] * max(keys.size, 1) + words.codes[rare])
+            ends = np.searchsorted(pair // max(keys.size, 1), np.arange(batch.num_rows + 1))
+            yield pa.RecordBatch.from_arrays([batch.column("at"), list_array(keys[pair % max(keys.size, 1)], ends, pa.int64())], ["at", "rare"])
+    return run
+
+
 def _gain(table: np.ndarray) -> np.ndarray:
     """Sum of x log x over the last two axes less that of the row and column sums: higher is likelier."""
     def spread(x):
@@ -135,24 +243,25 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
 
 class Model(NamedTuple):
     known: Known
-    classes: np.ndarray
     transitions: np.ndarray
     emission: np.ndarray
     tokens: int
     distinct: int
 
 
-def fit(train: DataFrame, stage: Stage | None = None) -> Model:
-    """Learn from the whole ``text`` of all rows of ``train``. Null and empty texts are an end token alone.
+def fit(texts: DataFrame, stage: Stage) -> tuple[Model, DataFrame, DataFrame]:
+    """Learn from the whole ``text`` of the rows of ``texts`` (at, text, train) that are to train. Null and empty texts are
+    an end token alone. Returns the model, the rows with the counts and classes of their rare words, and the table of all
+    training words (h, class, n).
 
-    The driver gets the counts of words above a share of 1 / FREQUENT of the tokens and the cells of the bigram table,
-    both bounded by parameters; counts of all other words stay in a table.
+    The driver gets the words above a share of 1 / FREQUENT of the tokens, and tables of classes or units; the class and
+    the count of all other words stay in a table and are joined to the texts that hold them.
     """
-    stage = stage or WrittenTables(train.sparkSession)
-    counts = stage(train.select("text").mapInArrow(_count, "h long, ending int, n long")
-                   .groupBy("h").agg(F.min("ending").alias("ending"), F.sum("n").alias("n")), "word_counts")
+    train = texts.where("train")
+    counts = stage(train.select("text").mapInArrow(_count, "h long, n long")
+                   .groupBy("h").agg(F.sum("n").alias("n")), "word_counts")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    often = counts.where(F.col("n") * FREQUENT > tokens).select("h", "n").toArrow()
+    often = counts.where(F.col("n") * FREQUENT > tokens).toArrow()
     keys, n = often["h"].to_numpy(), often["n"].to_numpy()
     order = np.argsort(keys)
     keys, n = keys[order], n[order]
@@ -160,55 +269,60 @@ def fit(train: DataFrame, stage: Stage | None = None) -> Model:
     top = np.concatenate([top[keys[top] == END], top[keys[top] != END]])[:WORDS]
     units = np.full(keys.size, -1)
     units[top] = np.arange(top.size)
-    known = Known(keys, n, units)
-
-    pairs = np.zeros(UNITS * UNITS, np.int64)
-    cells = stage(train.select("text").mapInArrow(_pairs(known), "cell int, n long")
-                  .groupBy("cell").agg(F.sum("n").alias("n")), "pairs").toArrow()
-    pairs[cells["cell"].to_numpy()] = cells["n"].to_numpy()
-    pairs = pairs.reshape(UNITS, UNITS)
-    classes = exchange(pairs)
-
-    # distinct words of each unit: one for a clustered word, those of an ending but for clustered ones
-    kinds = np.zeros(UNITS)
-    for ending, found in counts.where("ending >= 0").groupBy("ending").agg(F.count(F.lit(1))).collect():
-        kinds[WORDS + ending] = found
-    kinds[:top.size] = 1
-    for row in counts.where(F.col("h").isin([int(k) for k in keys[top]])).where("ending >= 0").select("ending").collect():
-        kinds[WORDS + row[0]] -= 1
+    known = Known(keys, n, units, np.append(WORDS + np.arange(ENDINGS), 0))
+
+    pairs = _table(train, known, UNITS)
+    first = exchange(pairs)
+    known = Known(keys, n, np.where(units >= 0, first[units], -1), first[known.endings])
     table = np.zeros((CLASSES, CLASSES))
-    np.add.at(table, (classes[:, None], classes[None, :]), pairs)
+    np.add.at(table, (first[:, None], first[None, :]), pairs)
+
+    lists = stage(texts.mapInArrow(_rare(known), "at long, rare array<long>").where(F.size("rare") > 0), "rare_words")
+    rows, best = texts, None
+    for turn in range(PASSES):
+        moved = stage(rows.where("train").mapInArrow(_contexts(known), CONTEXTS).repartition("h").sortWithinPartitions("h")
+                      .mapInArrow(_moves(table, keys[top]), "h long, class short, n long"), f"words_{turn}")
+        found = moved.where(F.col("n") * FREQUENT > tokens).toArrow()
+        groups = np.full(keys.size, -1)
+        groups[np.searchsorted(keys, found["h"].to_numpy())] = found["class"].to_numpy()
+        known = known._replace(groups=groups)
+        told = (lists.select("at", F.explode("rare").alias("h")).join(moved, "h").groupBy("at")
+                .agg(F.collect_list(F.struct("h", "class", "n")).alias("_w")))
+        rows = stage(texts.join(told, "at", "left").select(
+            *texts.columns, *[F.coalesce(F.col(f"_w.{c}"), F.array().cast(f"array<{kind}>")).alias(name)
+                              for c, kind, name in (("h", "long", "rare"), ("class", "short", "rare_class"), ("n", "long", "rare_n"))]), f"texts_{turn}")
+        table = _table(rows.where("train"), known, CLASSES).astype(np.float64)
+        if best is not None and _gain(table) <= _gain(best[0]):
+            break
+        best = table, known, rows, moved
+    table, known, rows, words = best
+
+    kinds = np.zeros(CLASSES)
+    for own, found in words.groupBy("class").agg(F.count(F.lit(1))).collect():
+        kinds[own] = found
     size = table.sum(0)
     plain = (size + 0.5) / (size.sum() + 0.5 * CLASSES)
     transitions = (table + BACKOFF * plain) / (table.sum(1, keepdims=True) + BACKOFF)
-    emission = size + 0.5 * (np.bincount(classes, kinds, CLASSES) + 1)
-    return Model(known, classes, np.log10(transitions), np.log10(emission), int(tokens), int(distinct))
+    emission = size + 0.5 * (kinds + 1)
+    return Model(known, np.log10(transitions), np.log10(emission), int(tokens), int(distinct)), rows, words
 
 
-SCORED = "n_tokens long, n_known long, base double, model double, rare array<long>, times array<int>"
+SCORED = "n_tokens long, n_known long, base double, model double"
 
 
 def _score(model: Model, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     whole = np.log10(model.tokens + 0.5 * (model.distinct + 1))
-    logs = np.log10(model.known.counts + 0.5)
 
     def run(batches):
         for batch in chunks(batches):
-            codes, starts, keys, place, unit = _tokens(batch, model.known)
+            codes, starts, _, count, group = _tokens(batch, model.known)
             n = batch.num_rows
             owner = np.repeat(np.arange(n), np.diff(starts))
-            own = model.classes[unit][codes]
-            before = np.concatenate([[model.classes[unit[-1]]], own[:-1]])
-            seen = place[codes] >= 0
-            common = np.where(seen, logs[place[codes]], 0.0) if logs.size else np.zeros(codes.size)
-            base = np.bincount(owner, common - whole, n)
-            score = np.bincount(owner, common - model.emission[own] + model.transitions[before, own], n)
-            pair, times = np.unique(owner[~seen] * keys.size + codes[~seen], return_counts=True)
-            text, code = pair // keys.size, pair % keys.size
-            ends = np.searchsorted(text, np.arange(n + 1))
-            made = {"n_tokens": pa.array(np.diff(starts), pa.int64()), "n_known": pa.array(np.bincount(owner, seen, n).astype(np.int64)),
-                    "base": pa.array(base), "model": pa.array(score), "rare": list_array(keys[code], ends, pa.int64()),
-                    "times": list_array(times, ends, pa.int32())}
+            own, logs = group[codes], np.log10(count + 0.5)[codes]
+            base = np.bincount(owner, logs - whole, n)
+            score = np.bincount(owner, logs - model.emission[own] + model.transitions[np.roll(own, 1), own], n)
+            made = {"n_tokens": pa.array(np.diff(starts), pa.int64()), "base": pa.array(base), "model": pa.array(score),
+                    "n_known": pa.array(np.bincount(owner, count[codes] > 0, n).astype(np.int64))}
             yield pa.RecordBatch.from_arrays([made.get(x) if x in made else batch.column(x) for x in names], names)
     return run
 
@@ -221,24 +335,15 @@ def score(docs: DataFrame, train: Column, stage: Stage | None = None) -> DataFra
     (A-Z) and cut at ASCII blanks; null and empty texts are an end alone. A null ``train`` counts as false.
     Perplexity is ``10 ** (-score / n_tokens)``.
 
-    Words with a large count are scored in the map task; the others bring their count in by a join on the word, in
-    which no word has a large share.
+    Classes and counts of frequent words are sent to the map tasks; those of all others come to the texts that hold them by
+    a join on the word, in which no word has a large share. Words not seen in training have the class of their ending.
     """
     stage = stage or WrittenTables(docs.sparkSession)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    model = fit(rows.where("train"), stage)
+    texts = stage(docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+                  .withColumn("at", F.monotonically_increasing_id()), "texts")
+    model, rows, _ = fit(texts, stage)
     names = ["doc_id", "train", *(x.split()[0] for x in SCORED.split(", "))]
     kind = dict(docs.dtypes)["doc_id"]
-    scored = stage(rows.mapInArrow(_score(model, names), f"doc_id {kind}, train boolean, {SCORED}")
-                   .withColumn("at", F.monotonically_increasing_id()), "scored")
-    found = (scored.select("at", "train", F.explode(F.arrays_zip("rare", "times")).alias("x"))
-             .select("at", "train", F.col("x.rare").alias("h"), F.col("x.times").alias("times")))
-    seen = (found.where("train").groupBy("h").agg(F.sum("times").alias("c")))
-    rare = (found.select("at", "h", "times").join(seen, "h", "left")
-            .groupBy("at").agg(F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more"),
-                               F.sum(F.when(F.col("c") > 0, F.col("times"))).alias("known")))
-    joined = scored.drop("rare", "times").join(rare, "at", "left")
-    more, known = F.coalesce("more", F.lit(0.0)), F.coalesce("known", F.lit(0))
-    return joined.select("doc_id", "train", "n_tokens", (F.col("n_known") + known).alias("n_known"),
-                         F.lit(model.tokens).cast("long").alias("train_tokens"),
-                         (F.col("base") + more).alias("base_score"), (F.col("model") + more).alias("score"))
+    scored = rows.mapInArrow(_score(model, names), f"doc_id {kind}, train boolean, {SCORED}")
+    return scored.select("doc_id", "train", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+                         F.col("base").alias("base_score"), F.col("model").alias("score"))

@@ -267,3 +267,18 @@ def test_exchange_finds_alternating_classes():
     pairs[:3, 3:] = pairs[3:, :3] = 10
     own = classes.exchange(pairs, classes=2)
     assert len(set(own[:3])) == len(set(own[3:])) == 1 and own[0] != own[3]
+
+
+def test_rare_words_get_classes_by_their_neighbours(spark):
+    """Words beyond the most frequent ones, all with one ending: two kinds that always stand in turn."""
+    rng = np.random.default_rng(5)
+    often = [[f"{kind}{k}" for k in range(200)] for kind in "ab"]
+    rare = [[f"{kind}{k}zz" for k in range(150)] for kind in "pq"]
+    texts = [" ".join(w for a, b in zip(rng.integers(0, 200, 40), rng.integers(0, 200, 40), strict=True) for w in (often[0][a], often[1][b]))
+             for _ in range(100)]
+    texts += [f"{often[0][k]} {rare[1][k]} {often[0][k + 1]} {often[1][k]} {rare[0][k]} {often[1][k + 1]}" for k in range(150) for _ in range(3)]
+    turns = " ".join(f"{a} {b}" for a, b in zip(*rare, strict=True))
+    docs = spark.createDataFrame([*enumerate(texts), (-1, turns), (-2, " ".join(rare[0] + rare[1]))], "doc_id long, text string")
+    got = {r.doc_id: r for r in classes.score(docs, F.col("doc_id") >= 0).where("doc_id < 0").collect()}
+    assert got[-1].base_score == pytest.approx(got[-2].base_score) and got[-1].n_known == got[-2].n_known == 301
+    assert got[-1].score > got[-2].score + 20  # as likely as each other if a hash of the ending gives the class
