@@ -206,6 +206,21 @@ def _coarse(classes: DataFrame, stage: Stage) -> DataFrame:
     return edges
 
 
+def _cross(large: DataFrame, strays: DataFrame, bands: DataFrame) -> DataFrame:
+    """Rows of a cut group's blocks and of the strays to hold against them, dealt by grp, block and slice.
+
+    Strays are cut into slices of bounded size as the group is into blocks, so a task holds one block and one slice at most,
+    however many classes of a group are strays. A stray only goes to blocks in which a class shares a bucket with it.
+    """
+    slices = strays.groupBy("grp").agg(F.ceil(F.sum(F.length("items")) / (8 * BLOCK_ITEMS)).cast("int").alias("slices"))
+    strays = strays.join(slices, "grp").withColumn("slice", F.pmod(F.xxhash64("cls", F.lit("stray")), "slices").cast("int")).drop("slices")
+    buckets = large.select("grp", "cls", "block").join(bands, "cls").select("grp", "key", "block").distinct()
+    aimed = (strays.select("grp", "cls", "slice").join(bands, "cls").join(buckets, ["grp", "key"])
+             .select("grp", "cls", "slice", "block").distinct())
+    held = large.join(aimed.select("grp", "block", "slice").distinct(), ["grp", "block"]).withColumn("asked", F.lit(False))
+    return held.unionByName(strays.join(aimed, ["grp", "cls", "slice"]).withColumn("asked", F.lit(True)))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, stage: Stage | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -247,16 +262,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, stage: S
     edges = linked.where("a <> b")
     large = sets.where("blocks > 1")
     if not large.isEmpty():
-        # what a block left outside its largest component is held against all other blocks of the group
+        # what a block left outside its largest component is held against the blocks of the group that share a bucket with it
         parts = stage(components(edges, stage), "parts")
         labelled = large.join(parts, large.cls == parts.vertex, "left").withColumn("part", F.coalesce("label", "cls"))
         counts = labelled.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("n"))
         main = counts.groupBy("grp").agg(F.max_by("part", "n").alias("main"))
-        strays = (labelled.join(main, "grp").where("part <> main").select(*large.columns)
-                  .withColumn("asked", F.lit(True))
-                  .withColumn("block", F.explode(every)))
-        all_rows = large.withColumn("asked", F.lit(False)).withColumn("block", block).unionByName(strays)
-        more = stage(all_rows.groupBy("grp", "block").applyInArrow(_link_blocks(percent), "a binary, b binary"), "cross")
+        strays = labelled.join(main, "grp").where("part <> main").select(*large.columns)
+        bands = classes.select("cls", F.explode("bands").alias("key"))
+        more = stage(_cross(large.withColumn("block", block), strays, bands).groupBy("grp", "block", "slice")
+                     .applyInArrow(_link_blocks(percent), "a binary, b binary"), "cross")
         edges = edges.union(more.where("a <> b"))
     final = components(edges, stage).withColumnRenamed("vertex", "cls")
     named = classes.select("cls", "first_id").join(final, "cls", "left").withColumn("label", F.coalesce("label", "cls"))

@@ -282,3 +282,27 @@ def test_rare_words_get_classes_by_their_neighbours(spark):
     got = {r.doc_id: r for r in classes.score(docs, F.col("doc_id") >= 0).where("doc_id < 0").collect()}
     assert got[-1].base_score == pytest.approx(got[-2].base_score) and got[-1].n_known == got[-2].n_known == 301
     assert got[-1].score > got[-2].score + 20  # as likely as each other if a hash of the ending gives the class
+
+
+def test_strays_of_a_cut_group_are_dealt_in_bounded_tasks(spark, monkeypatch):
+    """Texts that share a passage but are mostly not linked: almost the whole group is stray, and no task may hold it all."""
+    passage, texts = " ".join(f"p{k}" for k in range(60)), []
+    for i in range(200):
+        own = " ".join(f"x{i // 2 if i < 40 else i}y{k}" for k in range(25))
+        texts.append((i, f"{passage} {own}" + (f" z{i}" if i < 40 else "")))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    make, most = minhash._link_blocks, 4 * 1500
+
+    def bounded(percent):
+        run = make(percent)
+
+        def held(table):
+            size = sum(len(x) // 8 for x in table["items"].to_pylist())
+            assert size <= most, f"a task holds {size} shingles"
+            return run(table)
+        return held
+
+    monkeypatch.setattr(minhash, "BLOCK_ITEMS", 1500)
+    monkeypatch.setattr(minhash, "_link_blocks", bounded)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, words=2).collect()}
+    assert got == plain.components(texts, 2) and len(set(got.values())) == 180
