@@ -25,8 +25,10 @@ FORMATS = {
 #: what a text must hold for the format to be searched at all
 HINTS = {"email": r"@[A-Za-z0-9-]++\.[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]",
          "card": r"[0-9](?:[ -]?+[0-9]){12}", "phone": r"\+[0-9][ ().0-9-]"}
-#: runs that may be an identifier of unknown format: a digit within the first 64 characters, six characters at least
-CANDIDATE = r"(?<![A-Za-z0-9_%+@/.-])(?=[A-Za-z_%+@/.-]{0,64}[0-9])[A-Za-z0-9_%+@/.-]{6,}+"
+#: runs that may be an identifier of unknown format: a digit or @ within the first 65 characters, six characters at least
+CANDIDATE = r"(?<![A-Za-z0-9_%+@/.-])(?=[A-Za-z_%+/.-]{0,64}[0-9@])[A-Za-z0-9_%+@/.-]{6,}+"
+#: groups of digits joined by blanks, parentheses, dots and hyphens that may be one too, of six digits at least; tried first
+GROUPS = r"(?<![A-Za-z0-9_%+@/.-])[+(]{0,2}+[0-9]++(?:[ ().-]{1,3}+[0-9]++){1,18}+(?![A-Za-z0-9_%@/])"
 CONTEXT = 48
 ROUNDS, MIN_SUPPORT, TRUSTED, CONFIDENT = 3, 3, 0.7, 0.8
 SPAN = "struct<s:int,e:int,m:string>"
@@ -79,23 +81,36 @@ def _made_of(text: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(F.split(plain, ""))), "")
 
 
+def _soft(text: Column) -> Column:
+    """What an identifier is like, whatever signs join its parts: an address, digits only, or letters with or without digits."""
+    return (F.when(text.contains("@"), "address").when(~text.rlike("[A-Za-z]"), "number")
+            .when(text.rlike("[0-9]"), "mixed").otherwise("letters"))
+
+
 def _told(spans: Column, kind: Column) -> Column:
     return F.transform(spans, lambda x: F.struct(kind.alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
 
 
+def _apart(spans: str, others: str) -> Column:
+    """The spans of a column that touch none of another's."""
+    return F.filter(spans, lambda c: ~F.exists(others, lambda x: (x["s"] < c["e"]) & (c["s"] < x["e"])))
+
+
 def _scan(docs: DataFrame) -> DataFrame:
     """doc_id, row, the base spans, and each seed or candidate with the text around it; the texts stay behind.
 
-    Candidates that touch a base span are left out.
+    Candidates that touch a base span are left out, and runs that touch a candidate made of groups.
     """
     found = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("row"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
     for kind in KINDS:
         found = found.withColumn(kind, base_spans(F.col("_text"), kind))
     found = found.withColumn("_seeds", F.concat(*[_told(F.col(kind), F.lit(kind)) for kind in KINDS]))
-    found = found.withColumn("_candidates", _found(F.col("_text"), CANDIDATE, "[0-9]"))
-    apart = F.filter("_candidates", lambda c: ~F.exists("_seeds", lambda x: (x["s"] < c["e"]) & (c["s"] < x["e"])))
-    found = found.withColumn("_all", F.concat("_seeds", _told(apart, F.lit(None).cast("string"))))
+    found = found.withColumn("_groups", F.filter(_found(F.col("_text"), GROUPS, r"[0-9][ ().-]{1,3}[0-9]"), lambda x: F.length(_digits(x["m"])) >= 6))
+    found = found.withColumn("_runs", _found(F.col("_text"), CANDIDATE, "[0-9@]"))
+    for name, others in (("_groups", "_seeds"), ("_runs", "_seeds"), ("_runs", "_groups")):
+        found = found.withColumn(name, _apart(name, others))
+    found = found.withColumn("_all", F.concat("_seeds", _told(F.concat("_groups", "_runs"), F.lit(None).cast("string"))))
     around = F.transform("_all", lambda x: F.struct(
         x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("instance"),
         F.lower(F.substring(F.col("_text"), F.greatest(x["s"] - CONTEXT, F.lit(0)) + 1, F.least(x["s"], F.lit(CONTEXT)))).alias("before"),
@@ -104,14 +119,17 @@ def _scan(docs: DataFrame) -> DataFrame:
 
 
 def _patterns() -> Column:
-    """Two words before, one before, and one before and after, each with the make-up of the identifier."""
+    """Two words before, one before, and one before and after, each with the make-up of the identifier; the first and the
+    last also with what it is like, so that identifiers made of other signs than the seeds are found in their contexts."""
     def word(text: str, pattern: str, group: int = 1) -> Column:
         return F.nullif(F.regexp_replace(F.regexp_extract(text, pattern, group), "[0-9]+", "9"), F.lit(""))
 
     second, first, after = word("before", r"(\S+)\s+\S+\s*$"), word("before", r"(\S+)\s*$"), word("after", r"^\s*(\S+)")
-    make = _made_of(F.col("instance"))
+    make, like = _made_of(F.col("instance")), _soft(F.col("instance"))
     built = [F.concat(F.lit("two "), second, F.lit(" "), first, F.lit(" "), make), F.concat(F.lit("one "), first, F.lit(" "), make),
-             F.concat(F.lit("around "), first, F.lit(" "), after, F.lit(" "), make)]
+             F.concat(F.lit("around "), first, F.lit(" "), after, F.lit(" "), make),
+             F.concat(F.lit("soft two "), second, F.lit(" "), first, F.lit(" "), like),
+             F.concat(F.lit("soft around "), first, F.lit(" "), after, F.lit(" "), like)]
     return F.array_compact(F.array(*built))
 
 

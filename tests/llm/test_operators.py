@@ -306,3 +306,21 @@ def test_strays_of_a_cut_group_are_dealt_in_bounded_tasks(spark, monkeypatch):
     monkeypatch.setattr(minhash, "_link_blocks", bounded)
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, words=2).collect()}
     assert got == plain.components(texts, 2) and len(set(got.values())) == 180
+
+
+def test_contexts_find_phones_cards_and_addresses_of_other_forms(spark):
+    contexts = {"phone": ("call them on {} after noon", [f"+1 (2{k:02}) 555-01{k:02}" for k in range(12)], ["(555) 123-4567", "020 7946 0958"]),
+                "card": ("paid by card {} last week", [f"4111 1111 11{k:02} 1{k % 10}0{k % 7}" for k in range(99)], ["4111 1111 1111 11"]),
+                "email": ("please write to {} today", [f"a.{c}@firm.example.com" for c in "abcdefghijkl"], ["john@intranet"])}
+    rows, want = [], {}
+    for kind, (frame, seeds, planted) in contexts.items():
+        for text in seeds:
+            if plain.base_spans(frame.format(text)):  # of the cards, those that pass the check
+                rows.append((len(rows), frame.format(text)))
+        for text in planted:
+            rows.append((len(rows), frame.format(text)))
+            start = frame.index("{}")
+            want[rows[-1][0]] = [(kind, start, start + len(text))]
+    rows.append((len(rows), "the sum of 123 456 789 is not said by anyone"))
+    got = {r.doc_id: [tuple(x) for x in r.spans] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: got[k] for k in want} == want and got[len(rows) - 1] == []
