@@ -110,7 +110,7 @@ def _is(kind: str) -> Callable[[Column], Column]:
 
 @query
 def op4_licenses(spark, sf_dir):
-    found = licenses.scan(_table(spark, sf_dir, "documents"), licenses.known_notices(spark))
+    found = licenses.scan(_table(spark, sf_dir, "documents"), licenses.known_notices(spark), licenses.known_texts(spark))
     return found.select("doc_id", F.coalesce("whole_license", F.lit("")).alias("whole_license"),
                         F.array_join("licenses", ",").alias("licenses"))
 

@@ -324,3 +324,27 @@ def test_contexts_find_phones_cards_and_addresses_of_other_forms(spark):
     rows.append((len(rows), "the sum of 123 456 789 is not said by anyone"))
     got = {r.doc_id: [tuple(x) for x in r.spans] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {k: got[k] for k in want} == want and got[len(rows) - 1] == []
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction,
+including without limitation the rights to use, copy, modify, merge, publish, distribute,
+sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial
+portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR
+PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING
+FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_whole_licence_texts_are_known(spark):
+    """With another holder and other line breaks, one of them before the word copyright inside a sentence."""
+    words = MIT.replace("sublicense", "sublicence").replace("\n", " ")
+    docs = spark.createDataFrame([(1, f"The MIT License (MIT)\n\nCopyright (c) 1999 Someone Else\n\n{MIT}\n"),
+                                  (2, "© 2021 X\n" + words.replace("The above copyright notice", "The above\ncopyright notice")),
+                                  (3, MIT.replace("free of charge", "for a fee")), (4, None)], "doc_id long, text string")
+    frame = licenses.scan(docs, licenses.known_notices(spark), licenses.known_texts(spark))
+    got = {r.doc_id: (r.whole_license, r.licenses) for r in frame.collect()}
+    assert got == {1: ("MIT", ["MIT"]), 2: ("MIT", ["MIT"]), 3: (None, []), 4: (None, [])}
