@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfline.llm import classes, licenses, pii, rules as quality
+from shelfline.llm import classes, licenses, merkle, pii, rules as quality, secrets
 from shelfline.llm.byte_bpe import decode, encode
 from shelfline.llm.minhash import near_duplicates
 from shelfline.llm.positions import contamination
@@ -164,3 +164,62 @@ named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(lis
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
+@query
+def op12_secrets(spark, sf_dir):
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    counts = {f"n_{kind}": F.size(F.filter("base", _is(kind))).cast("long") for kind in secrets.KINDS[:3]}
+    return found.select("doc_id", *[c.alias(name) for name, c in counts.items()], F.sha2(secrets.told(F.col("base")), 256).alias("base_sha256"),
+                        secrets.told(F.col("spans")).alias("spans"))
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    plain = merkle.leaf_digest([F.col(c) for c in merkle.COLUMNS])
+    unbroken = merkle.leaf_digest([F.translate("text", "\n", "") if c == "text" else F.col(c) for c in merkle.COLUMNS])
+    found = merkle.manifest(docs, also={"told": F.when(_remainder(2) == 0, unbroken).otherwise(plain)})
+    folded = merkle.fold(F.col("told"), F.col("lefts"), F.col("rights"))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("lefts"), F.col("rights")).alias("proof_sha256"),
+                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII string, bit by bit."""
+    byte = "list_reduce(list_prepend(xor(crc, b), list_transform(range(8), lambda x: 0::BIGINT)), lambda c, x: xor(c >> 1, 3988292384 * (c & 1)))"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda crc, b: {byte}), 4294967295::BIGINT)"
+
+
+def _leaf_sql(text: str) -> str:
+    told = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(told)})"
+
+
+def _beside_sql(nodes: str, keys: str) -> str:
+    run = f"OVER (PARTITION BY {keys}, lv, k // 3 ORDER BY k ROWS BETWEEN"
+    return f"""SELECT {keys}, lv, k, n, coalesce(string_agg(digest, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+       coalesce(string_agg(digest, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {nodes} WHERE n > 1"""
+
+
+ORACLES["op13_merkle_manifest"] = rf"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS k, count(*) OVER (PARTITION BY source) AS n,
+           {_leaf_sql("text")} AS leaf, CASE WHEN {_crc32_sql("doc_id::VARCHAR")} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS told
+    FROM documents),
+nodes AS (SELECT source, 0 AS lv, k, n, leaf AS digest FROM leaves
+          UNION ALL SELECT source, lv + 1, k // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY k)) FROM nodes WHERE n > 1 GROUP BY source, lv, k // 3, n),
+tops AS (SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS k, count(*) OVER () AS n FROM nodes WHERE n = 1),
+over_ AS (SELECT 0 AS t, 0 AS lv, k, n, digest FROM tops
+          UNION ALL SELECT t, lv + 1, k // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY k)) FROM over_ WHERE n > 1 GROUP BY t, lv, k // 3, n),
+beside AS ({_beside_sql("nodes", "source")}),
+above AS ({_beside_sql("over_", "t")}),
+path AS (SELECT doc_id, source, leaf, told AS folded, '' AS proof, 0 AS lv, k, n FROM leaves
+         UNION ALL SELECT p.doc_id, p.source, leaf, sha256(l || folded || r), proof || l || r, p.lv + 1, p.k // 3, (p.n + 2) // 3
+         FROM path p JOIN beside b ON b.source IS NOT DISTINCT FROM p.source AND b.lv = p.lv AND b.k = p.k),
+climbed AS (SELECT doc_id, leaf, digest AS subroot, folded, proof, 0 AS lv, t.k, t.n FROM path p JOIN tops t ON t.source IS NOT DISTINCT FROM p.source WHERE p.n = 1
+            UNION ALL SELECT doc_id, leaf, subroot, sha256(l || folded || r), proof || l || r, c.lv + 1, c.k // 3, (c.n + 2) // 3
+            FROM climbed c JOIN above a ON a.lv = c.lv AND a.k = c.k)
+SELECT doc_id, leaf, subroot, o.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = o.digest AS verified
+FROM climbed c, (SELECT digest FROM over_ WHERE n = 1) o WHERE c.n = 1"""
