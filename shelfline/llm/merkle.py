@@ -20,12 +20,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
+from shelfline.llm.groups import whole
 from shelfline.plans.ordering import with_row_number
 from shelfline.plans.sizing import join_dim
 from shelfline.plans.staging import Stage, WrittenTables
 
 ARITY, LEVELS = 3, 7
 BLOCK = ARITY ** LEVELS
+BLOCK_KEY = ["tree", "block"]
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 PROOF = StructType().add("lefts", ArrayType(StringType())).add("rights", ArrayType(StringType())).add("subroot", StringType())
 
@@ -111,28 +113,8 @@ def backward(inner: list[tuple[int, int, list[str]]], first: int, count: int, no
     return out[::-1]
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[int]]]:
-    """Rows again, with no block cut in two, and the row at which each block begins, and the number of rows."""
-    held: pa.Table | None = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
-        starts = _starts(rows)
-        if len(starts) > 1:
-            yield rows.slice(0, starts[-1]), starts
-        held = rows.slice(starts[-1]) if starts else rows
-    if held is not None and held.num_rows:
-        yield held, [0, held.num_rows]
-
-
-def _starts(rows: pa.Table) -> list[int]:
-    tree, block = rows["tree"].to_numpy(), rows["block"].to_numpy()
-    if not tree.size:
-        return []
-    return [0, *((tree[1:] != tree[:-1]) | (block[1:] != block[:-1])).nonzero()[0] + 1]
-
-
 def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, starts in _whole(batches):
+    for rows, starts in whole(batches, BLOCK_KEY):
         digests, at, n = (rows[c].to_pylist() for c in ("digest", "at", "n"))
         made = [forward(digests[a:b], at[a], n[a])[0] for a, b in zip(starts[:-1], starts[1:], strict=True)]
         first = rows.take(starts[:-1])
@@ -144,7 +126,7 @@ def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _proofs(names: list[str]):
     """Rows of nodes with their proofs, from rows in which each block begins with the message to its top (``at`` -1)."""
     def run(batches):
-        for rows, starts in _whole(batches):
+        for rows, starts in whole(batches, BLOCK_KEY):
             digests, at, n = (rows[c].to_pylist() for c in ("digest", "at", "n"))
             lefts, rights, roots = [], [], []
             for a, b in zip(starts[:-1], starts[1:], strict=True):
@@ -163,7 +145,7 @@ def _proofs(names: list[str]):
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    return rows.repartition("tree", "block").sortWithinPartitions("tree", "block", "at")
+    return rows.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY, "at")
 
 
 def _block(at: str = "at") -> Column:

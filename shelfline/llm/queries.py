@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfline.llm import classes, licenses, merkle, pii, rules as quality, secrets
+from shelfline.llm import classes, dialogue, licenses, merkle, pii, rules as quality, secrets
 from shelfline.llm.byte_bpe import decode, encode
 from shelfline.llm.minhash import near_duplicates
 from shelfline.llm.positions import contamination
@@ -166,6 +166,22 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM docs d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults put in by a digest of conversation and turn: dropped, emptied, cut short, repeated, or given to the user."""
+    role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("role", "text"))
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(place) % 20).alias("_fault")).where("_fault <> 0")
+    now = F.when(F.col("_fault") == 1, "").when(F.col("_fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return rows.select("conv_id", "turn", F.when(F.col("_fault") == 4, "user").otherwise(F.col("role")).alias("role"), now.alias("text"),
+                       F.explode(F.sequence(F.lit(1), F.when(F.col("_fault") == 3, 2).otherwise(1))).alias("_copy")).drop("_copy")
+
+
+@query
+def op11_conversations(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations")
+    return dialogue.report(dialogue.repair(damaged(turns)), turns)
+
+
 @query
 def op12_secrets(spark, sf_dir):
     found = secrets.scan(_table(spark, sf_dir, "documents"))
@@ -223,3 +239,50 @@ climbed AS (SELECT doc_id, leaf, digest AS subroot, folded, proof, 0 AS lv, t.k,
             FROM climbed c JOIN above a ON a.lv = c.lv AND a.k = c.k)
 SELECT doc_id, leaf, subroot, o.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = o.digest AS verified
 FROM climbed c, (SELECT digest FROM over_ WHERE n = 1) o WHERE c.n = 1"""
+
+
+def _least_sql(*candidates: str) -> str:
+    return f"list_sort([x FOR x IN [{', '.join(candidates)}] IF x IS NOT NULL])[1]"
+
+
+def _edit_sql(cost: str, edit: str, rest: str, line: str | None) -> str:
+    lines = f"list_prepend({line}, {rest}.r)" if line else f"{rest}.r"
+    return f"{{'c': {cost} + {rest}.c, 't': '{edit}' || {rest}.t, 'r': {lines}}}"
+
+
+_MADE = {0: (2, "user"), 1: (2, "user"), 2: (3, "assistant"), 3: (2, "user")}
+_KEEP = {0: "CASE code WHEN 's' THEN v1 WHEN 'u' THEN v2 END", 1: "CASE code WHEN 'u' THEN v2 END", 2: "CASE code WHEN 'a' THEN v3 END", 3: "CASE code WHEN 'u' THEN v2 END"}
+_TURN_SQL = ", ".join(
+    _least_sql(_edit_sql("3", "D", f"v{s}", None),
+               f"CASE WHEN NOT gone AND k{s} IS NOT NULL THEN {_edit_sql('short', 'K', f'k{s}', 'line')} END",
+               f"CASE WHEN NOT gone THEN {_edit_sql('2 + short', 'R', f'v{state}', repr(role + ':') + ' || text')} END") + f" AS b{s}"
+    for s, (state, role) in _MADE.items())
+_GAP_SQL = ", ".join(
+    _least_sql(f"b{s}", _edit_sql("2", "I", f"b{state}", repr(role + ":")),
+               f"{{'c': 4 + b{_MADE[state][0]}.c, 't': 'II' || b{_MADE[state][0]}.t, 'r': list_concat(['{role}:', '{_MADE[state][1]}:'], b{_MADE[state][0]}.r)}}") + f" AS v{s}"
+    for s, (state, role) in _MADE.items())
+#: the cheapest edits from a row to the end, with their audit and lines, for each of the four states; so the least audit is exact
+ORACLES["op11_conversations"] = rf"""
+WITH RECURSIVE marked AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_crc32_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS f FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+                   CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE f WHEN 3 THEN 2 ELSE 1 END))
+            FROM marked WHERE f <> 0),
+placed AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+                  count(*) OVER (PARTITION BY conv_id) AS n FROM damaged),
+faults AS (SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 AS again,
+                  NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut, substr(role, 1, 1) AS i, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS p FROM placed),
+coded AS (SELECT *, blank OR again AS gone, CASE WHEN cut THEN 1 ELSE 0 END AS short, CASE WHEN i IN ('s', 'u', 'a') THEN i ELSE 'x' END AS code, role || ':' || text AS line FROM faults),
+step AS (SELECT conv_id, n + 1 AS k, {{'c': 0::BIGINT, 't': '', 'r': []::VARCHAR[]}} AS v0, {{'c': 4::BIGINT, 't': 'II', 'r': ['user:', 'assistant:']}} AS v1,
+                {{'c': 2::BIGINT, 't': 'I', 'r': ['assistant:']}} AS v2, {{'c': 0::BIGINT, 't': '', 'r': []::VARCHAR[]}} AS v3 FROM (SELECT DISTINCT conv_id, n FROM coded)
+         UNION ALL
+         SELECT conv_id, k, {_GAP_SQL} FROM (SELECT conv_id, k, {_TURN_SQL} FROM (
+             SELECT c.*, v0, v1, v2, v3, {", ".join(f"{_KEEP[s]} AS k{s}" for s in _KEEP)} FROM step JOIN coded c ON c.conv_id IS NOT DISTINCT FROM step.conv_id AND c.k = step.k - 1))),
+best AS (SELECT conv_id, v0 FROM step WHERE k = 1),
+sums AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+                count(*) FILTER (cut AND NOT again AND NOT blank) AS truncated, count(*) FILTER (p IS NOT NULL AND p || i NOT IN ('su', 'ua', 'au')) AS illegal
+         FROM coded GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(v0.c, 0)::BIGINT AS cost, coalesce(v0.t, '') AS audit, sha256(coalesce(array_to_string(v0.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id"""
