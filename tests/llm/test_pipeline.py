@@ -35,10 +35,10 @@ def test_stages(spark):
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_sql_twins(spark, key):
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "labels"):
+    for name in ("documents", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     assert compare(QUERIES[key](spark, SF).toPandas(), con.execute(ORACLES[key]).df()) == ""
 
 
 def test_every_operator_is_registered():
-    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14))
