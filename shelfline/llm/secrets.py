@@ -143,10 +143,10 @@ def shares_of(counts: np.ndarray) -> dict[str, np.ndarray]:
 
 @functools.lru_cache(100_000)
 def _weight(shares: tuple, n: int) -> float:
-    """Chance that a random token of this length has few enough pairs to be told from ordinary text at p = 0.0001."""
+    """Chance that a random token of this length has few enough pairs to be told from ordinary text at p = 0.01."""
     own = np.array(shares)
     ordinary, flat = pair_moments(own, n), pair_moments(np.full(own.size, 1 / own.size), n)
-    return max(_lower_tail((ordinary.mean - 3.719 * ordinary.sd - flat.mean) / flat.sd), 0.01)
+    return max(_lower_tail((ordinary.mean - 2.326 * ordinary.sd - flat.mean) / flat.sd), 0.01)
 
 
 def weight(shares: np.ndarray, n: int) -> float:
