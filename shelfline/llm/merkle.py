@@ -189,9 +189,9 @@ def manifest(docs: DataFrame, columns: Sequence[str] = COLUMNS, group: str = "so
     """
     stage = stage or WrittenTables(docs.sparkSession)
     also = also or {}
-    leaves = with_row_number(docs.select(F.col(order).alias("_order"), F.col(group).cast("string").alias("_group"), leaf_digest([F.col(c) for c in columns]).alias("digest"),
-                                         *[c.alias(f"_also_{name}") for name, c in also.items()]),
-                             ["_group", "_order", "digest"], "_row", stage=stage)
+    hashed = stage(docs.select(F.col(order).alias("_order"), F.col(group).cast("string").alias("_group"), leaf_digest([F.col(c) for c in columns]).alias("digest"),
+                               *[c.alias(f"_also_{name}") for name, c in also.items()]), "hashed")  # so texts are read once
+    leaves = with_row_number(hashed, ["_group", "_order", "digest"], "_row", stage=stage)
     groups = leaves.groupBy("_group").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("n"))
     groups = stage(with_row_number(groups, ["_group"], "_place", stage=stage).select(
         F.col("_group").alias("_name"), (F.col("_place") - 1).alias("tree"), "_first", "n"), "groups")
