@@ -19,9 +19,9 @@ def encode_category(df: DataFrame) -> DataFrame:
     return df.withColumn("category_encoded", lookup(F.col("category"), CODE_BY_CATEGORY, 0))
 
 
-def encode_family_rank(df: DataFrame, stage: Stage = lazy) -> DataFrame:
-    """Average rank of the family's total sales, cut to an integer."""
-    sums = stage(series_sums(df.select("store_id", "family", F.col("sales").cast("double").alias("sales"))), "family_sums")
+def encode_family_rank(df: DataFrame, stage: Stage = lazy, sums: DataFrame | None = None) -> DataFrame:
+    """Average rank of the family's total sales, cut to an integer. ``sums`` per series spare a pass over ``df``."""
+    sums = sums if sums is not None else stage(series_sums(df.select("store_id", "family", F.col("sales").cast("double").alias("sales"))), "family_sums")
     ranks = family_ranks(sums, "_rank").select("family", "_rank")
     joined = join_dim(df, ranks, "family", "left", bound=sums)
     return joined.withColumn("family_encoded", F.coalesce(F.col("_rank").cast("int"), F.lit(0))).drop("_rank")
@@ -36,8 +36,8 @@ def interaction_features(df: DataFrame, staple: str = STAPLE_FAMILY) -> DataFram
     })
 
 
-def build_ml_ready(star: DataFrame, staple: str = STAPLE_FAMILY, stage: Stage = lazy) -> DataFrame:
+def build_ml_ready(star: DataFrame, staple: str = STAPLE_FAMILY, stage: Stage = lazy, sums: DataFrame | None = None) -> DataFrame:
     """Quality repairs, encodings and interactions on the star query's rows."""
     df = clip_negative(fill_critical_nulls(star))
-    df = encode_category(encode_family_rank(encode_store_type(df), stage))
+    df = encode_category(encode_family_rank(encode_store_type(df), stage, sums))
     return fill_numeric_nulls(interaction_features(df, staple))

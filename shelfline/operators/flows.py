@@ -6,12 +6,14 @@ import time
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from shelfline.functions.lookups import STAPLE_FAMILY
 from shelfline.operators import cleaning, encoding, features, merging, stockout, warehouse
 from shelfline.plans.staging import Stage, lazy
+from shelfline.plans.versions import VersionedTable
 from shelfline.sources.calendar import calendar_of, dim_date
+from shelfline.sources.sinks import PANEL_ORDER, sort_panel
 
 
 @dataclass
@@ -56,17 +58,18 @@ class Warehouse:
         return self.stage(rows, "dim_cpi")
 
     @cached_property
-    def _classified(self) -> DataFrame:
-        return warehouse.classify_fact_rows(self.featured, self.dim_date, self.dim_store, self.dim_product,
-                                            self.raw.stores)
+    def loaded(self) -> DataFrame:
+        """Accepted and rejected rows from one pass over the panel, in folders by outcome and year."""
+        rows = warehouse.classify_fact_rows(self.featured, self.dim_date, self.dim_store, self.dim_product, self.raw.stores)
+        return self.stage(warehouse.loaded_rows(rows), "fact_daily_sales", warehouse.FACT_FOLDERS, warehouse.FACT_ORDER)
 
-    @cached_property
+    @property
     def fact(self) -> DataFrame:
-        return self.stage(warehouse.fact_rows(self._classified), "fact_daily_sales")
+        return warehouse.accepted_rows(self.loaded)
 
-    @cached_property
+    @property
     def rejects(self) -> DataFrame:
-        return self.stage(warehouse.fact_rejects(self._classified), "fact_rejects")
+        return warehouse.rejected_rows(self.loaded)
 
 
 def clean_flow(raw: RawTables, stage: Stage = lazy) -> DataFrame:
@@ -90,15 +93,36 @@ def warehouse_flow(raw: RawTables, featured: DataFrame | None = None, calendar:
 
 
 def ml_ready_flow(raw: RawTables, house: Warehouse, staple: str = STAPLE_FAMILY, stage: Stage = lazy) -> DataFrame:
-    """Star join, quality repairs, encodings and interactions."""
+    """Star join, quality repairs, encodings and interactions; a folder per year, and files in order of series and day.
+
+    The family ranks come from sums of the fact itself, so the star is joined once.
+    """
     star = warehouse.star_join(house.fact, house.dim_date, house.dim_store, house.dim_product, raw.stores)
-    return stage(encoding.build_ml_ready(star, staple, stage), "ml_ready", ("year",))
+    sums = stage(warehouse.fact_sums(house.fact, house.dim_store, house.dim_product, raw.stores), "family_sums")
+    return stage(encoding.build_ml_ready(star, staple, stage, sums), "ml_ready", ("year",), PANEL_ORDER)
+
+
+def publish_dimensions(house: Warehouse, panel: DataFrame, path: str, stores: DataFrame | None = None) -> tuple[VersionedTable, VersionedTable]:
+    """Publish the store and product dimensions with the metrics of a panel, as new versions of the tables under ``path``.
+
+    The first run publishes the dimensions as loaded before, so that what the update started from stays readable.
+    """
+    spark = panel.sparkSession
+    tables = VersionedTable(spark, f"{path}/dim_store"), VersionedTable(spark, f"{path}/dim_product")
+    for table, loaded in zip(tables, (house.dim_store, house.dim_product), strict=True):
+        if not table.versions():
+            table.publish(loaded)
+    tables[0].publish(warehouse.update_store_metrics(tables[0].read(), panel, stores))
+    tables[1].publish(warehouse.update_product_metrics(tables[1].read(), panel))
+    return tables
 
 
 def run_etl(raw: RawTables, house: Warehouse, path: str, staple: str = STAPLE_FAMILY) -> DataFrame:
-    """Write the model-ready panel and return a one-row run log; the counts ride on the write itself.
+    """Publish the model-ready panel by year and the dimensions with its metrics; returns a one-row run log.
 
-    ``errors`` counts the rows the fact rejected; ``rows_repaired`` those with a null or negative value to mend.
+    Under ``path``, each table is a ``VersionedTable``: a run that fails leaves the versions before it as they are. Panel rows replace
+    the years they touch. The counts ride on the write itself: ``errors`` counts the rows the fact rejected; ``rows_repaired`` those
+    with a null or negative value to mend; ``stores_updated`` and ``products_updated`` the dimension rows whose metrics changed.
     """
     spark: SparkSession = raw.sales.sparkSession
     star = warehouse.star_join(house.fact, house.dim_date, house.dim_store, house.dim_product, raw.stores)
@@ -106,13 +130,24 @@ def run_etl(raw: RawTables, house: Warehouse, path: str, staple: str = STAPLE_FA
     broken = F.col("sales").isNull() | (F.col("sales") < 0)
     ready = encoding.build_ml_ready(star.observe(extracted, F.count(F.lit(1)).alias("n"), F.count_if(broken).alias("broken")), staple)
     started = time.time()
-    ready.observe(transformed, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy("year").parquet(path)
+    panel = VersionedTable(spark, f"{path}/ml_ready", "year")
+    panel.publish_parts(sort_panel(ready.observe(transformed, F.count(F.lit(1)).alias("n"))))
+    stores, products = publish_dimensions(house, panel.read(), path, raw.stores)
     ended = time.time()
-    loaded = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_loaded"))
-    return loaded.join(house.rejects.agg(F.count(F.lit(1)).alias("errors"))).select(  # one row each
+
+    def changed(table: VersionedTable, key: str) -> Column:
+        """Rows that differ from the version before; dimension rows only."""
+        before = table.read(table.versions()[-2])
+        return before.join(table.read().exceptAll(before).select(key), key, "left_semi").agg(F.count(F.lit(1))).scalar()
+
+    one = panel.read().agg(F.count(F.lit(1)).alias("rows_loaded"))
+    return one.select(
         F.timestamp_seconds(F.lit(started)).alias("start_time"), F.timestamp_seconds(F.lit(ended)).alias("end_time"),
+        F.lit(ended - started).alias("seconds"),
         F.lit(extracted.get["n"]).alias("rows_extracted"), F.lit(transformed.get["n"]).alias("rows_transformed"),
-        "rows_loaded", F.lit(extracted.get["broken"]).alias("rows_repaired"), "errors")
+        "rows_loaded", F.lit(extracted.get["broken"]).alias("rows_repaired"),
+        house.rejects.agg(F.count(F.lit(1))).scalar().alias("errors"),
+        changed(stores, "store_key").alias("stores_updated"), changed(products, "product_key").alias("products_updated"))
 
 
 def alerts_flow(ml_ready: DataFrame, predictions: DataFrame | None = None, as_of=None) -> DataFrame:

@@ -135,16 +135,22 @@ def q09_payday_effect(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     return _by_day(fact, days).groupBy("period").agg(_mean(), _total()).orderBy(F.desc("avg_sales"), "period")
 
 
+def newest_year(fact: DataFrame) -> DataFrame:
+    """The fact's newest year; where years are folders, the scans read that folder alone, and no column to find it."""
+    return fact.where(F.col("fact_year") == fact.agg(F.max("fact_year")).scalar()) if "fact_year" in fact.columns else fact
+
+
 def latest_fact_day(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """One row: the newest day that the fact holds. Only the distinct keys of the fact are moved."""
+    """One row: the newest day that the fact holds, from its newest year. Only the distinct keys of the fact are moved."""
+    fact = newest_year(fact)
     held = dim_date.join(broadcast_bounded(fact.select("date_key").distinct()), "date_key", "left_semi")
     return held.agg(F.max("full_date").alias("day"), F.max_by("date_key", "full_date").alias("date_key"))
 
 
 def latest_fact_date_filter(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """The fact's rows of that day; the key is a runtime value that the scan can filter on."""
+    """The fact's rows of that day; year and key are runtime values that the scan can filter on."""
     newest = latest_fact_day(fact, dim_date)
-    return (fact.where(F.col("date_key") == newest.select("date_key").scalar())
+    return (newest_year(fact).where(F.col("date_key") == newest.select("date_key").scalar())
             .withColumn("full_date", newest.select("day").scalar()))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.functions.calendar import year_month
 from shelfline.functions.lookups import SEASON_LABELS, WEEKDAYS
@@ -20,7 +20,7 @@ def filter_store_year_category(df: DataFrame, stores: list[int] | None = None, y
     return df.where(F.col("category").isin(categories)) if categories else df
 
 
-def filter_store(df: DataFrame, store_id: int) -> DataFrame:
+def filter_store(df: DataFrame, store_id: int | Column) -> DataFrame:
     return df.where(F.col("store_id") == store_id)
 
 
@@ -106,26 +106,26 @@ def dash_alert_products(alerts: DataFrame, n: int = 10) -> DataFrame:
             .orderBy(F.desc("alerts"), "family").limit(n))
 
 
-def dash_store_card(df: DataFrame, store_id: int) -> DataFrame:
+def dash_store_card(df: DataFrame, store_id: int | Column) -> DataFrame:
     return filter_store(df, store_id).agg(
         F.min("city").alias("city"), F.min("store_type").alias("store_type"), F.sum("sales").alias("revenue"),
         F.avg("sales").alias("avg_sales"), (F.avg("is_zero_sale") * 100).alias("stockout_rate"))
 
 
-def dash_store_monthly(df: DataFrame, store_id: int) -> DataFrame:
+def dash_store_monthly(df: DataFrame, store_id: int | Column) -> DataFrame:
     return dash_monthly_sales(filter_store(df, store_id))
 
 
-def dash_store_top_products(df: DataFrame, store_id: int, n: int = 10) -> DataFrame:
+def dash_store_top_products(df: DataFrame, store_id: int | Column, n: int = 10) -> DataFrame:
     return dash_top_products(filter_store(df, store_id), n)
 
 
-def dash_store_stockout_by_product(df: DataFrame, store_id: int) -> DataFrame:
+def dash_store_stockout_by_product(df: DataFrame, store_id: int | Column) -> DataFrame:
     return (filter_store(df, store_id).groupBy("family")
             .agg(F.count("sales").alias("total"), F.sum("is_zero_sale").alias("stockouts"))
             .withColumn("rate", round_scaled(F.col("stockouts") / F.col("total") * 100, 1))
             .orderBy(F.desc("rate"), "family"))
 
 
-def dash_store_alerts(alerts: DataFrame, store_id: int) -> DataFrame:
+def dash_store_alerts(alerts: DataFrame, store_id: int | Column) -> DataFrame:
     return filter_store(alerts, store_id)

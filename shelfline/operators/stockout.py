@@ -172,7 +172,13 @@ def top_reorders(reorder: DataFrame, n: int = 20, active_only: bool = False) ->
 
 
 def latest_snapshot(df: DataFrame, as_of=None) -> DataFrame:
-    """Rows of one day, by default the newest; the filter reaches the scan as a runtime value."""
+    """Rows of one day, by default the newest; the filter reaches the scan as a runtime value.
+
+    A panel with a ``year`` column is cut to the year first: where years are folders, the others are not read.
+    """
+    if "year" in df.columns:
+        year = F.year(F.lit(as_of).cast("date")) if as_of is not None else df.agg(F.max("year")).scalar()
+        df = df.where(F.col("year") == year)
     day = F.lit(as_of).cast("date") if as_of is not None else df.agg(F.max("date").alias("d")).scalar()
     return df.where(F.col("date") == day)
 

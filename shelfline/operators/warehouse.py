@@ -54,7 +54,7 @@ def load_dim_store(stores: DataFrame, panel: DataFrame) -> DataFrame:
         F.trim("city").alias("city"), F.trim("state").alias("state"), kind.alias("store_type"),
         lookup(kind, SIZE_BY_STORE_TYPE, "Unknown").alias("store_size"), "cluster",
         to_decimal(F.col("avg_daily_sales"), "decimal(12,2)").alias("avg_daily_sales"),
-        to_decimal(F.col("total_revenue"), "decimal(15,2)").alias("total_revenue"),
+        to_decimal(F.col("total_revenue"), "decimal(25,2)").alias("total_revenue"),
         to_decimal(F.col("stockout_rate"), "decimal(5,2)").alias("stockout_rate"))
 
 
@@ -64,7 +64,7 @@ def load_dim_product(seed: DataFrame) -> DataFrame:
         F.row_number().over(Window.partitionBy().orderBy("family")).alias("product_key"),
         "family", "category", "subcategory", "is_fmcg", "is_perishable",
         F.lit(0).cast("decimal(12,2)").alias("avg_daily_sales"),
-        F.lit(0).cast("decimal(15,2)").alias("total_revenue"), F.lit(0).alias("popularity_rank"),
+        F.lit(0).cast("decimal(25,2)").alias("total_revenue"), F.lit(0).alias("popularity_rank"),
         F.lit(0).cast("decimal(5,2)").alias("stockout_rate"))
 
 
@@ -141,28 +141,67 @@ def classify_fact_rows(panel: DataFrame, dim_date: DataFrame, dim_store: DataFra
     df = join_dim(df.join(days, "date_key", "left"), known, "store_id", "left", bound=stores)
     reason = (F.when(F.col("product_key").isNull(), "unknown_family")
               .when(F.col("_day").isNull(), "unknown_date")
+              .when(F.col("date") < F.lit("1970-01-01").cast("date"), "date_out_of_range")
               .when(F.col("store_key").isNull(), "unknown_store")
               .when(_out_of_range(), "value_out_of_range"))
     return df.withColumn("reject_reason", reason).drop("_day")
 
 
-def fact_rows(classified: DataFrame) -> DataFrame:
-    """The accepted rows in fact form. The key packs day, store and product in ten digits each, which hold any INT, so
-    it needs no sort and two rows never share it. Negative parts would not fit and are refused."""
-    kept = classified.where(F.col("reject_reason").isNull())
+def _fact_columns() -> list[Column]:
+    """The columns of a fact row. The key packs day, store and product in ten digits each, which hold any INT, so it needs no
+    sort and two rows never share it. Negative parts would not fit and are refused."""
     parts = [F.unix_date("date"), F.col("store_key"), F.col("product_key")]
     ten = F.lit(10 ** 10).cast("decimal(11,0)")
     checked = [F.when(p >= 0, p.cast("decimal(10,0)")).otherwise(F.raise_error(F.lit("negative key")).cast("decimal(10,0)")) for p in parts]
     packed = ((checked[0] * ten + checked[1]).cast("decimal(20,0)") * ten + checked[2]).cast("decimal(30,0)")
-    return to_warehouse_decimals(kept).select(
-        packed.alias("sale_key"), "date_key", "store_key", "product_key",
-        "sales", "onpromotion", "onpromotion_count", *schemas.FACT_DECIMALS[1:10], "is_zero_sale",
-        "zero_sales_last_7d", "consecutive_zeros", *schemas.FACT_DECIMALS[10:])
+
+    def decimals(*names: str) -> list[Column]:
+        return [to_decimal(F.col(c), schemas.fact_decimal_type(c)).alias(c) for c in names]
+
+    def integers(*names: str) -> list[Column]:
+        return [(F.col(c).cast("int") if c in schemas.FACT_INTEGERS else F.col(c)).alias(c) for c in names]
+
+    return [packed.alias("sale_key"), *integers("date_key", "store_key", "product_key"), *decimals("sales"),
+            *integers("onpromotion", "onpromotion_count"), *decimals(*schemas.FACT_DECIMALS[1:10]),
+            *integers("is_zero_sale", "zero_sales_last_7d", "consecutive_zeros"), *decimals(*schemas.FACT_DECIMALS[10:])]
+
+
+def fact_rows(classified: DataFrame) -> DataFrame:
+    """The accepted rows in fact form."""
+    return classified.where(F.col("reject_reason").isNull()).select(_fact_columns())
+
+
+REJECT_COLUMNS = ["date", "store_id", "family", "sales", "reject_reason"]
+#: how a load is split into folders, and its rows ordered inside each file, so that readers of a day or a year can skip
+FACT_FOLDERS, FACT_ORDER = ("outcome", "fact_year"), ("date_key", "store_key", "product_key")
 
 
 def fact_rejects(classified: DataFrame) -> DataFrame:
-    return classified.where(F.col("reject_reason").isNotNull()).select(
-        "date", "store_id", "family", "sales", "reject_reason")
+    return classified.where(F.col("reject_reason").isNotNull()).select(REJECT_COLUMNS)
+
+
+def loaded_rows(classified: DataFrame) -> DataFrame:
+    """Every row of a load, in fact form if accepted and as a reject with its reason if not, so that one write takes both.
+
+    ``outcome`` tells them apart; with ``fact_year``, the year of the day, it is the folder a row goes to.
+    """
+    kept = F.col("reject_reason").isNull()
+    facts = _fact_columns()
+    names = fact_rows(classified).columns
+    return classified.select(
+        *[F.when(kept, column).alias(name) for column, name in zip(facts, names, strict=True)],
+        *[F.when(~kept, F.col(c)).alias(f"reject_{c}".replace("reject_reject", "reject")) for c in REJECT_COLUMNS],
+        F.when(kept, "accepted").otherwise("rejected").alias("outcome"), F.year("date").alias("fact_year"))
+
+
+def accepted_rows(loaded: DataFrame) -> DataFrame:
+    """The fact: the accepted rows of a load, with their year."""
+    return loaded.where(F.col("outcome") == "accepted").drop("outcome", *[c for c in loaded.columns if c.startswith("reject_")])
+
+
+def rejected_rows(loaded: DataFrame) -> DataFrame:
+    return loaded.where(F.col("outcome") == "rejected").select(
+        *[F.col(f"reject_{c}").alias(c) for c in REJECT_COLUMNS[:-1]], "reject_reason")
 
 
 def load_fact(panel: DataFrame, dim_date: DataFrame, dim_store: DataFrame, dim_product: DataFrame,
@@ -189,6 +228,14 @@ def star_join(fact: DataFrame, dim_date: DataFrame, dim_store: DataFrame, dim_pr
     return joined.select("date", *[c for group in STAR_COLUMNS.values() for c in group])
 
 
+def fact_sums(fact: DataFrame, dim_store: DataFrame, dim_product: DataFrame, stores: DataFrame | None = None) -> DataFrame:
+    """Sales and rows per store and family of the fact, nulls as 0 and nothing below 0; one row per series is joined."""
+    sales = F.greatest(F.coalesce(F.col("sales").cast("double"), F.lit(0.0)), F.lit(0.0))
+    sums = fact.groupBy("store_key", "product_key").agg(F.sum(sales).alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    named = join_dim(sums, dim_store.select("store_key", "store_id"), "store_key", bound=stores)
+    return join_dim(named, dim_product.select("product_key", "family"), "product_key", bound=dim_product).select("store_id", "family", "_sum", "_n")
+
+
 def _update(dim: DataFrame, metrics: DataFrame, key: str, columns: dict[str, str], bound: DataFrame | None):
     new = metrics.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = join_dim(dim, new, key, "left", bound=bound)
@@ -199,13 +246,13 @@ def _update(dim: DataFrame, metrics: DataFrame, key: str, columns: dict[str, str
 
 def update_store_metrics(dim_store: DataFrame, panel: DataFrame, stores: DataFrame | None = None) -> DataFrame:
     return _update(dim_store, store_metrics(panel), "store_id", {
-        "avg_daily_sales": "decimal(12,2)", "total_revenue": "decimal(15,2)", "stockout_rate": "decimal(5,2)"},
+        "avg_daily_sales": "decimal(12,2)", "total_revenue": "decimal(25,2)", "stockout_rate": "decimal(5,2)"},
         bound=stores)
 
 
 def update_product_metrics(dim_product: DataFrame, panel: DataFrame) -> DataFrame:
     return _update(dim_product, product_metrics(panel), "family", {
-        "avg_daily_sales": "decimal(12,2)", "total_revenue": "decimal(15,2)", "stockout_rate": "decimal(5,2)",
+        "avg_daily_sales": "decimal(12,2)", "total_revenue": "decimal(25,2)", "stockout_rate": "decimal(5,2)",
         "popularity_rank": "int"}, bound=dim_product)
 
 

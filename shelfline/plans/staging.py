@@ -17,7 +17,7 @@ from shelfline.session import ensure_checkpoint_dir
 Stage = Callable[..., DataFrame]
 
 
-def lazy(df: DataFrame, name: str, partition_by: tuple = ()) -> DataFrame:
+def lazy(df: DataFrame, name: str, partition_by: tuple = (), sort_by: tuple = ()) -> DataFrame:
     return df
 
 
@@ -29,9 +29,12 @@ class WrittenTables:
         self._written = 0
         self.root = f"{(folder or ensure_checkpoint_dir(spark)).rstrip('/')}/shelfline-{uuid.uuid4().hex}"
 
-    def __call__(self, df: DataFrame, name: str, partition_by: tuple = ()) -> DataFrame:
+    def __call__(self, df: DataFrame, name: str, partition_by: tuple = (), sort_by: tuple = ()) -> DataFrame:
+        """Write and reread; with folders by ``partition_by``, and rows in order of ``sort_by`` inside each file."""
         self._written += 1
         path = f"{self.root}/{self._written:03d}-{name}"  # never over a table that a frame still reads
+        if sort_by:
+            df = df.sortWithinPartitions(*partition_by, *sort_by)
         writer = df.write.mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path).select(df.columns)

@@ -33,10 +33,10 @@ DIM_DATE = _table(date_key=_I, full_date=_DT, year=_I, quarter=_I, month=_I, mon
                   week_of_year=_I, day_of_month=_I, day_of_week=_I, day_name=_S, day_of_year=_I,
                   **{flag: _I for flag in CALENDAR_FLAGS + SEASON_FLAGS + HOLIDAY_FLAGS})
 DIM_STORE = _table(store_key=_I, store_id=_I, city=_S, state=_S, store_type=_S, store_size=_S, cluster=_I,
-                   avg_daily_sales=DecimalType(12, 2), total_revenue=DecimalType(15, 2),
+                   avg_daily_sales=DecimalType(12, 2), total_revenue=DecimalType(25, 2),
                    stockout_rate=DecimalType(5, 2))
 DIM_PRODUCT = _table(product_key=_I, family=_S, category=_S, subcategory=_S, is_fmcg=_I, is_perishable=_I,
-                     avg_daily_sales=DecimalType(12, 2), total_revenue=DecimalType(15, 2),
+                     avg_daily_sales=DecimalType(12, 2), total_revenue=DecimalType(25, 2),
                      popularity_rank=_I, stockout_rate=DecimalType(5, 2))
 DIM_ECONOMIC = _table(date_key=_I, full_date=_DT, oil_price=DecimalType(8, 2),
                       oil_price_7d_avg=DecimalType(8, 2), oil_price_change=DecimalType(8, 2))

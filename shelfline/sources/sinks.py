@@ -7,6 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfline.sources.readers import path_exists
 
 
+#: order of a panel's rows inside the files of a year
+PANEL_ORDER = ("store_id", "family", "date")
+
+
+def sort_panel(panel: DataFrame) -> DataFrame:
+    """Rows of a task in order of year, series and day; readers of a year, a store or a series can skip the rest of a file."""
+    if "year" not in panel.columns:
+        panel = panel.withColumn("year", F.year("date"))
+    return panel.sortWithinPartitions("year", *PANEL_ORDER)
+
+
 def write_panel(panel: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write a panel split by year and sorted inside each file, so that readers can skip.
 
@@ -14,8 +25,7 @@ def write_panel(panel: DataFrame, path: str, fmt: str = "parquet") -> None:
     """
     if "year" not in panel.columns:
         panel = panel.withColumn("year", F.year("date"))
-    writer = (panel.repartition("year", "store_id", "family").sortWithinPartitions("year", "store_id", "family", "date")
-              .write.mode("overwrite").partitionBy("year"))
+    writer = sort_panel(panel.repartition("year", "store_id", "family")).write.mode("overwrite").partitionBy("year")
     writer.csv(path, header=True) if fmt == "csv" else writer.format(fmt).save(path)
 
 

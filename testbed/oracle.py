@@ -196,7 +196,7 @@ TABLES = {
         round_even(avg(is_zero_sale) * 100, 2) AS stockout_rate FROM featured GROUP BY store_id""",
     "dim_store": f"""SELECT store_nbr AS store_key, store_nbr AS store_id, city, state, type AS store_type,
         coalesce(store_size, 'Unknown') AS store_size, cluster, {dec('avg_daily_sales')} AS avg_daily_sales,
-        {dec('total_revenue', 'DECIMAL(15,2)')} AS total_revenue, {dec('stockout_rate', 'DECIMAL(5,2)')} AS stockout_rate
+        {dec('total_revenue', 'DECIMAL(25,2)')} AS total_revenue, {dec('stockout_rate', 'DECIMAL(5,2)')} AS stockout_rate
         FROM clean_stores LEFT JOIN store_metrics ON store_nbr = store_id""",
     "dim_product": "SELECT CAST(row_number() OVER (ORDER BY family) AS INTEGER) AS product_key, * FROM seed",
     "dim_economic": f"""SELECT {i('year(date) * 10000 + month(date) * 100 + day(date)', 'date_key')}, date AS full_date,
@@ -329,12 +329,12 @@ add(
         {rs('store_avg_daily_sales', 'family_avg_sales', 'store_product_avg', 'oil_price')} FROM fact""",
     update_store_metrics=f"""SELECT d.store_key, d.store_id, d.city, d.state, d.store_type, d.store_size, d.cluster,
         {r(f"coalesce({dec('m.a')}, 0)", 'avg_daily_sales')},
-        {r(f"coalesce({dec('m.t', 'DECIMAL(15,2)')}, total_revenue)", 'total_revenue')},
+        {r(f"coalesce({dec('m.t', 'DECIMAL(25,2)')}, total_revenue)", 'total_revenue')},
         {r(f"coalesce({dec('m.z', 'DECIMAL(5,2)')}, stockout_rate)", 'stockout_rate')} FROM dim_store d LEFT JOIN
         (SELECT store_id, avg(CAST(sales AS DOUBLE)) AS a, sum(CAST(sales AS DOUBLE)) AS t,
          avg(is_zero_sale) * 100 AS z FROM ready GROUP BY store_id) m USING (store_id)""",
     update_product_metrics=f"""SELECT d.product_key, family, d.category, d.subcategory, d.is_fmcg, d.is_perishable,
-        {r(dec('m.a'), 'avg_daily_sales')}, {r(dec('m.t', 'DECIMAL(15,2)'), 'total_revenue')},
+        {r(dec('m.a'), 'avg_daily_sales')}, {r(dec('m.t', 'DECIMAL(25,2)'), 'total_revenue')},
         {i(f"floor({AVG_RANK.format('m.t')})", 'popularity_rank')}, {r(dec('m.z', 'DECIMAL(5,2)'), 'stockout_rate')}
         FROM dim_product d JOIN
         (SELECT family, avg(CAST(sales AS DOUBLE)) AS a, sum(CAST(sales AS DOUBLE)) AS t,
@@ -393,7 +393,7 @@ add(
         AND year(date) IN (1999, 2000) AND category IN ('FMCG', 'Fresh')""",
     filter_alert_levels=f"SELECT {KEY}, alert_level, {rs('suggested_order')} FROM ladder "
                         "WHERE alert_level IN ('CRITICAL', 'HIGH')",
-    filter_store=f"SELECT {KEY}, {rs('sales')} FROM ready WHERE store_id = 7",
+    filter_store=f"SELECT {KEY}, {rs('sales')} FROM ready WHERE store_id = (SELECT min(store_id) FROM ready)",
     split_by_year="SELECT CASE WHEN year < 2001 THEN 'train' ELSE 'test' END AS part, count(*) AS n FROM ready GROUP BY 1",
     filter_fmcg_having=f"""SELECT store_key, family, count(*) AS total_days, {n('sum(is_zero_sale)', 'zero_sale_days')},
         {r('sum(is_zero_sale) / count(*) * 100', 'stockout_rate')} FROM fact JOIN dim_product USING (product_key)
@@ -764,22 +764,24 @@ add(
     dash_alert_counts="SELECT alert_level, count(*) AS alerts FROM ladder GROUP BY alert_level",
     dash_alert_products="SELECT family, count(*) AS alerts FROM ladder GROUP BY family ORDER BY count(*) DESC, family LIMIT 10",
     dash_store_card=f"""SELECT min(city) AS city, min(store_type) AS store_type, {r('sum(sales)', 'revenue')},
-        {r('avg(sales)', 'avg_sales')}, {ZERO} FROM analysed WHERE store_id = 7""",
-    dash_store_monthly=f"SELECT {MONTH}, {r('sum(sales)', 'sales')} FROM analysed WHERE store_id = 7 GROUP BY 1",
-    dash_store_top_products=f"SELECT family, {r('sum(sales)', 'sales')} FROM analysed WHERE store_id = 7 GROUP BY family "
+        {r('avg(sales)', 'avg_sales')}, {ZERO} FROM analysed WHERE store_id = (SELECT min(store_id) FROM analysed)""",
+    dash_store_monthly=f"SELECT {MONTH}, {r('sum(sales)', 'sales')} FROM analysed WHERE store_id = (SELECT min(store_id) FROM analysed) GROUP BY 1",
+    dash_store_top_products=f"SELECT family, {r('sum(sales)', 'sales')} FROM analysed WHERE store_id = (SELECT min(store_id) FROM analysed) GROUP BY family "
                             "ORDER BY sum(analysed.sales) DESC, family LIMIT 10",
     dash_store_stockout_by_product=f"""SELECT family, count(*) AS total, {n('sum(is_zero_sale)', 'stockouts')},
-        {r('round_even(sum(is_zero_sale) / count(*) * 100, 1)', 'rate')} FROM analysed WHERE store_id = 7 GROUP BY family""",
+        {r('round_even(sum(is_zero_sale) / count(*) * 100, 1)', 'rate')} FROM analysed WHERE store_id = (SELECT min(store_id) FROM analysed) GROUP BY family""",
     alert_totals=f"""SELECT count(*) AS total_alerts, {n('sum(CASE WHEN rung = 1 THEN 1 ELSE 0 END)', 'critical_alerts')},
         (SELECT count(*) FROM risk) AS total_series FROM ladder""",
     dash_store_alerts=f"""SELECT store_id, family, city, category, alert_level, alert_reason,
         {i('consecutive_zeros', 'consecutive_zeros')}, {rs('avg_daily_demand', 'predicted_demand', 'suggested_order')}, {d()}
-        FROM ladder WHERE store_id = 7""",
+        FROM ladder WHERE store_id = (SELECT min(store_id) FROM ladder)""",
 )
 
 # ---- whole flows
 FEATURED_DOUBLES = ["sales", "oil_price", *LAGS, *MEANS, *STDS, *RANGE, *TREND, "store_product_avg", "store_avg_daily_sales",
                     "family_avg_sales", "family_popularity_rank", "sales_vs_store_avg"]
+READY_METRICS = f"""SELECT {{0}}, {dec('avg(CAST(sales AS DOUBLE))')} AS a, {dec('sum(CAST(sales AS DOUBLE))', 'DECIMAL(25,2)')} AS t,
+    {dec('avg(is_zero_sale) * 100', 'DECIMAL(5,2)')} AS z FROM ready GROUP BY {{0}}""".replace("{:.2f}", "{{:.2f}}")
 READY_DOUBLES = ["sales", *LAGS, *MEANS, *STDS, *TREND, "store_avg_daily_sales", "family_avg_sales", "store_product_avg",
                  "oil_price"]
 add(
@@ -789,8 +791,17 @@ add(
     flow_warehouse="""SELECT 'accepted' AS outcome, count(*) AS n FROM fact UNION ALL
         SELECT 'unknown_family', count(*) FROM featured WHERE family NOT IN (SELECT family FROM seed)""",
     flow_ml_ready=f"SELECT * REPLACE ({rs(*READY_DOUBLES)}, {d()}) FROM ready",
-    flow_etl_report="""SELECT count(*) AS rows_extracted, count(*) AS rows_transformed, count(*) AS rows_loaded, 0 AS rows_repaired,
-        (SELECT count(*) FROM featured WHERE family NOT IN (SELECT family FROM seed)) AS errors FROM ready""",
+    flow_etl_report=f"""SELECT count(*) AS rows_extracted, count(*) AS rows_transformed, count(*) AS rows_loaded, 0 AS rows_repaired,
+        (SELECT count(*) FROM featured WHERE family NOT IN (SELECT family FROM seed)) AS errors,
+        (SELECT count(*) FROM dim_store d JOIN ({READY_METRICS.format('store_id')}) m USING (store_id)
+         WHERE d.avg_daily_sales <> a OR d.total_revenue <> t OR d.stockout_rate <> z) AS stores_updated,
+        (SELECT count(*) FROM dim_product JOIN ({READY_METRICS.format('family')}) m USING (family) WHERE a <> 0 OR t <> 0 OR z <> 0)
+        AS products_updated, 1 AS timed FROM ready""",
+    full_reload=f"""SELECT family, {rs('avg_daily_sales', 'total_revenue', 'stockout_rate')}, popularity_rank, 0 AS stale_rows,
+        (SELECT count(*) FROM dim_store) AS stores FROM (
+        SELECT d.family, coalesce(a, 0) AS avg_daily_sales, coalesce(t, 0) AS total_revenue, coalesce(z, 0) AS stockout_rate,
+            {i(f"coalesce(floor({AVG_RANK.format('t')}), 0)", 'popularity_rank')}
+        FROM dim_product d LEFT JOIN ({READY_METRICS.format('family')}) m USING (family))""",
     export_subset=f"SELECT {KEY}, {rs('sales')} FROM ready WHERE {DRAWN}",
     concat_subset=f"SELECT year, count(*) AS n FROM ready WHERE {DRAWN} GROUP BY year",
     prediction_sample=f"""SELECT {KEY}, {r('sales', 'actual')}, {r('sales_lag_7d', 'predicted')} FROM analysed

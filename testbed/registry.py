@@ -6,9 +6,10 @@ six decimals, decimals as doubles, dates as text, booleans as 0/1.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfline.operators import (cleaning as cl, encoding as en, features as ft, flows, forecasting as fc,
                                  merging as mg, profiling as pf, questions as qs, reports as rp, stockout as so,
@@ -48,6 +49,11 @@ def _count(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _first_store(df: DataFrame) -> Column:
+    """The smallest store with rows."""
+    return df.agg(F.min("store_id")).scalar()
+
+
 # ---- sources and sinks ------------------------------------------------------------------------------------
 
 @query
@@ -112,7 +118,7 @@ def load_dim_cpi(b):
 
 @query
 def load_fact(b):
-    return b.house.fact.withColumn("sale_key", F.col("sale_key").cast("string"))
+    return b.house.fact.withColumn("sale_key", F.col("sale_key").cast("string")).drop("fact_year")
 
 
 @query
@@ -300,7 +306,7 @@ def filter_alert_levels(b):
 
 @query
 def filter_store(b):
-    return rp.filter_store(b.ml_ready.select(*SERIES_DAY, "sales"), 7)
+    return rp.filter_store(b.ml_ready.select(*SERIES_DAY, "sales"), _first_store(b.ml_ready))
 
 
 @query
@@ -1046,22 +1052,22 @@ def dash_alert_products(b):
 
 @query
 def dash_store_card(b):
-    return rp.dash_store_card(b.analysed, 7)
+    return rp.dash_store_card(b.analysed, _first_store(b.ml_ready))
 
 
 @query
 def dash_store_monthly(b):
-    return rp.dash_store_monthly(b.analysed, 7)
+    return rp.dash_store_monthly(b.analysed, _first_store(b.ml_ready))
 
 
 @query
 def dash_store_top_products(b):
-    return rp.dash_store_top_products(b.analysed, 7)
+    return rp.dash_store_top_products(b.analysed, _first_store(b.ml_ready))
 
 
 @query
 def dash_store_stockout_by_product(b):
-    return rp.dash_store_stockout_by_product(b.analysed, 7)
+    return rp.dash_store_stockout_by_product(b.analysed, _first_store(b.ml_ready))
 
 
 @query
@@ -1071,7 +1077,7 @@ def alert_totals(b):
 
 @query
 def dash_store_alerts(b):
-    return rp.dash_store_alerts(_alerts(b), 7)
+    return rp.dash_store_alerts(_alerts(b), _first_store(_alerts(b)))
 
 
 # ---- whole flows ------------------------------------------------------------------------------------------
@@ -1100,8 +1106,19 @@ def flow_ml_ready(b):
 
 @query
 def flow_etl_report(b):
-    return flows.run_etl(b.raw, b.house, f"{b.stage.root}/etl_run").select(
-        "rows_extracted", "rows_transformed", "rows_loaded", "rows_repaired", "errors")
+    """The counts of a first run; the times are read by no one, but must be in order."""
+    return flows.run_etl(b.raw, b.house, f"{b.stage.root}/etl_run_{uuid.uuid4().hex}").select(
+        "rows_extracted", "rows_transformed", "rows_loaded", "rows_repaired", "errors", "stores_updated", "products_updated",
+        ((F.col("end_time") > F.col("start_time")) & (F.col("seconds") > 0)).alias("timed"))
+
+
+@query
+def full_reload(b):
+    """Dimensions as a run has published them: the new version is read, the old one only counted."""
+    stores, products = flows.publish_dimensions(b.house, b.ml_ready, f"{b.stage.root}/reload_{uuid.uuid4().hex}", b.raw.stores)
+    stale = products.read(products.versions()[0]).where("total_revenue > 0").agg(F.count(F.lit(1))).scalar()
+    return products.read().select("family", "avg_daily_sales", "total_revenue", "popularity_rank", "stockout_rate").withColumns(
+        {"stale_rows": stale, "stores": stores.read().agg(F.count(F.lit(1))).scalar()})
 
 
 @query
