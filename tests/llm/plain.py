@@ -1,6 +1,7 @@
 """The contracts in plain Python, for small tables."""
 
 import collections
+import functools
 import re
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -50,18 +51,28 @@ def removed(texts, window):
     return out
 
 
+@functools.cache
+def item_windows(items, window):
+    """{windows of an item: its items}, and their sizes; an item of fewer words is one window."""
+    found = collections.defaultdict(set)
+    for item, phrase in items:
+        words = ALNUM.findall((phrase or "").translate(LOWER))
+        size = min(window, len(words))
+        for k in range(len(words) - size + 1 if size else 0):
+            found[tuple(words[k:k + size])].add(str(item))
+    return found, {len(w) for w in found}
+
+
 def hits(text, items, window):
     """Flags of the words that a window of an item covers, and the items."""
     words = ALNUM.findall((text or "").translate(LOWER))
+    windows, sizes = item_windows(tuple(items), window)
     flags, found = [False] * len(words), set()
-    for item, phrase in items:
-        own = ALNUM.findall((phrase or "").translate(LOWER))
-        size = min(window, len(own))
-        for k in range(len(own) - size + 1 if size else 0):
-            for at in range(len(words) - size + 1):
-                if words[at:at + size] == own[k:k + size]:
-                    flags[at:at + size] = [True] * size
-                    found.add(str(item))
+    for size in sizes:
+        for at in range(len(words) - size + 1):
+            if (own := tuple(words[at:at + size])) in windows:
+                flags[at:at + size] = [True] * size
+                found |= windows[own]
     return flags, sorted(found)
 
 

@@ -6,22 +6,31 @@ import pytest
 import corpus_pipeline
 from shelfline.llm import rules
 from shelfline.llm.queries import ORACLES, QUERIES
+from shelfline.plans.staging import WrittenTables
 from testbed.check import compare
 from tests.llm import plain
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_stages(spark):
+def test_stages(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
-    learned = rules.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    train, learned = rules.train, []
+
+    def once(*tables):
+        learned.append(train(*tables))
+        return learned[0]
+
+    monkeypatch.setattr(rules, "train", once)
     out = {}
-    for name, stage in corpus_pipeline.STAGES:
-        made = stage(spark, docs, SF).cache()
-        out[name], docs = made.collect(), made
+    with WrittenTables(spark) as stage_:
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage_(stage(spark, docs, SF), name.replace(" ", "_"))
+            out[name] = docs.collect()
     kept = {r.doc_id for r in out["quality rules"]}
-    assert kept == {r.doc_id for r in rules.judge(spark.read.parquet(f"{SF}/documents.parquet"), learned).where("kept").collect()}
+    assert len(learned) == 1
+    assert kept == {r.doc_id for r in rules.judge(spark.read.parquet(f"{SF}/documents.parquet"), learned[0]).where("kept").collect()}
     roots = plain.components([(i, texts[i]) for i in sorted(kept)], 5)
     assert {r.doc_id for r in out["near duplicates"]} == {i for i in kept if roots[i] == i}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
