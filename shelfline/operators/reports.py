@@ -1,4 +1,4 @@
-"""The tables under each chart of the dashboard, on the model-ready panel and on the alerts."""
+"""The tables under each chart of the dashboard, on the model-ready panel or its sums (``rollup``), and on the alerts."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfline.functions.calendar import year_month
 from shelfline.functions.lookups import SEASON_LABELS, WEEKDAYS
 from shelfline.functions.rounding import round_scaled
-from shelfline.operators.stockout import season_means, stockout_heatmap
+from shelfline.operators.stockout import mean_of, row_count, season_means, stockout_heatmap
 
 
 def filter_store_year_category(df: DataFrame, stores: list[int] | None = None, years: list[int] | None = None,
@@ -24,10 +24,16 @@ def filter_store(df: DataFrame, store_id: int | Column) -> DataFrame:
     return df.where(F.col("store_id") == store_id)
 
 
+def _month(df: DataFrame) -> Column:
+    return F.col("year_month") if "year_month" in df.columns else year_month(F.col("date"))
+
+
 def dash_kpis(df: DataFrame) -> DataFrame:
-    return df.agg(F.sum("sales").alias("total_revenue"), F.avg("sales").alias("avg_daily_sales"),
-                  F.countDistinct("store_id").alias("stores"), F.countDistinct("family").alias("families"),
-                  (F.avg("is_zero_sale") * 100).alias("stockout_rate"))
+    """Totals, and the distinct stores and families; these are counted over the sums per series, not by expanding the panel's rows."""
+    series = df.groupBy("store_id", "family").agg(F.sum("sales").alias("sales"), F.sum("is_zero_sale").alias("is_zero_sale"), row_count(df).alias("_rows"))
+    return series.agg(F.sum("sales").alias("total_revenue"), mean_of(series, "sales").alias("avg_daily_sales"),
+                      F.countDistinct("store_id").alias("stores"), F.countDistinct("family").alias("families"),
+                      (mean_of(series, "is_zero_sale") * 100).alias("stockout_rate"))
 
 
 def dash_filter_counts(df: DataFrame, chosen) -> DataFrame:
@@ -37,11 +43,11 @@ def dash_filter_counts(df: DataFrame, chosen) -> DataFrame:
 
 
 def dash_monthly_sales(df: DataFrame) -> DataFrame:
-    return df.groupBy(year_month(F.col("date")).alias("month")).agg(F.sum("sales").alias("sales")).orderBy("month")
+    return df.groupBy(_month(df).alias("month")).agg(F.sum("sales").alias("sales")).orderBy("month")
 
 
 def dash_sales_by_type(df: DataFrame) -> DataFrame:
-    return df.groupBy("store_type").agg(F.avg("sales").alias("avg_sales"), F.sum("sales").alias("total_sales"))
+    return df.groupBy("store_type").agg(mean_of(df, "sales").alias("avg_sales"), F.sum("sales").alias("total_sales"))
 
 
 def dash_top_products(df: DataFrame, n: int = 10) -> DataFrame:
@@ -51,7 +57,11 @@ def dash_top_products(df: DataFrame, n: int = 10) -> DataFrame:
 
 def dash_dow_pattern(df: DataFrame) -> DataFrame:
     """Mean per weekday, Monday first; a weekday without rows stays with a null mean."""
-    columns = [F.avg(F.when(F.col("day_name") == d, F.col("sales"))).alias(d) for d in WEEKDAYS]
+    def on(day: str, column: str) -> Column:
+        return F.when(F.col("day_name") == day, F.col(column))
+
+    columns = [(F.try_divide(F.sum(on(d, "sales")), F.sum(on(d, "_rows"))) if "_rows" in df.columns else F.avg(on(d, "sales"))).alias(d)
+               for d in WEEKDAYS]
     rows = F.array(*[F.struct(F.lit(i).alias("day_order"), F.lit(d).alias("day_name"), F.col(d).alias("avg_sales"))
                      for i, d in enumerate(WEEKDAYS)])
     return df.agg(*columns).select(F.inline(rows)).orderBy("day_order")
@@ -71,14 +81,16 @@ def dash_season_impact(df: DataFrame) -> DataFrame:
 
 
 def dash_stockout_kpis(df: DataFrame) -> DataFrame:
-    row = df.agg(F.count(F.lit(1)).alias("total_days"), F.sum("is_zero_sale").alias("stockout_days"),
-                 F.coalesce(F.avg("is_zero_sale") * 100, F.lit(0.0)).alias("stockout_pct"),
-                 F.coalesce(F.avg(F.when(F.col("sales") > 0, F.col("sales"))), F.lit(0.0)).alias("avg_selling"))
+    # sales are never below 0, so those of the rows that sold are all sales
+    selling = F.try_divide(F.sum("sales"), F.sum("_sold")) if "_rows" in df.columns else F.avg(F.when(F.col("sales") > 0, F.col("sales")))
+    row = df.agg(F.coalesce(row_count(df), F.lit(0)).alias("total_days"), F.sum("is_zero_sale").alias("stockout_days"),
+                 F.coalesce(mean_of(df, "is_zero_sale") * 100, F.lit(0.0)).alias("stockout_pct"),
+                 F.coalesce(selling, F.lit(0.0)).alias("avg_selling"))
     return row.withColumn("est_lost", F.col("avg_selling") * F.col("stockout_days"))
 
 
 def _rate(df: DataFrame, *keys) -> DataFrame:
-    return df.groupBy(*keys).agg((F.avg("is_zero_sale") * 100).alias("stockout_rate"))
+    return df.groupBy(*keys).agg((mean_of(df, "is_zero_sale") * 100).alias("stockout_rate"))
 
 
 def dash_stockout_by_type(df: DataFrame) -> DataFrame:
@@ -90,7 +102,7 @@ def dash_stockout_by_category(df: DataFrame) -> DataFrame:
 
 
 def dash_monthly_stockout(df: DataFrame) -> DataFrame:
-    return _rate(df, year_month(F.col("date")).alias("month")).orderBy("month")
+    return _rate(df, _month(df).alias("month")).orderBy("month")
 
 
 def dash_stockout_heatmap(df: DataFrame, categories: list[str]) -> DataFrame:
@@ -109,7 +121,7 @@ def dash_alert_products(alerts: DataFrame, n: int = 10) -> DataFrame:
 def dash_store_card(df: DataFrame, store_id: int | Column) -> DataFrame:
     return filter_store(df, store_id).agg(
         F.min("city").alias("city"), F.min("store_type").alias("store_type"), F.sum("sales").alias("revenue"),
-        F.avg("sales").alias("avg_sales"), (F.avg("is_zero_sale") * 100).alias("stockout_rate"))
+        mean_of(df, "sales").alias("avg_sales"), (mean_of(df, "is_zero_sale") * 100).alias("stockout_rate"))
 
 
 def dash_store_monthly(df: DataFrame, store_id: int | Column) -> DataFrame:
@@ -122,7 +134,7 @@ def dash_store_top_products(df: DataFrame, store_id: int | Column, n: int = 10)
 
 def dash_store_stockout_by_product(df: DataFrame, store_id: int | Column) -> DataFrame:
     return (filter_store(df, store_id).groupBy("family")
-            .agg(F.count("sales").alias("total"), F.sum("is_zero_sale").alias("stockouts"))
+            .agg(row_count(df).alias("total"), F.sum("is_zero_sale").alias("stockouts"))
             .withColumn("rate", round_scaled(F.col("stockouts") / F.col("total") * 100, 1))
             .orderBy(F.desc("rate"), "family"))
 

@@ -23,19 +23,29 @@ def attach_predictions(df: DataFrame, predictions: DataFrame | None = None) -> D
     return df.join(keyed, [*SERIES, "date"], "left")
 
 
-def _zero_rate() -> Column:
-    return F.avg("is_zero_sale") * 100
+def row_count(df: DataFrame) -> Column:
+    """Number of panel rows in a group of the panel, or behind a group of its sums (``rollup``)."""
+    return F.sum("_rows") if "_rows" in df.columns else F.count(F.lit(1))
+
+
+def mean_of(df: DataFrame, column: str) -> Column:
+    """Mean of a column over the panel's rows, from them or from sums."""
+    return F.sum(column) / F.sum("_rows") if "_rows" in df.columns else F.avg(column)
+
+
+def _zero_rate(df: DataFrame) -> Column:
+    return mean_of(df, "is_zero_sale") * 100
 
 
 def stockout_overall(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("total_days"), F.sum("is_zero_sale").alias("stockout_days"),
-                  _zero_rate().alias("stockout_rate"))
+    return df.agg(row_count(df).alias("total_days"), F.sum("is_zero_sale").alias("stockout_days"),
+                  _zero_rate(df).alias("stockout_rate"))
 
 
 def _by(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(
-        F.count("is_zero_sale").alias("total_days"), F.sum("is_zero_sale").alias("stockout_days"),
-        F.avg("sales").alias("avg_sales")).withColumn(
+        row_count(df).alias("total_days"), F.sum("is_zero_sale").alias("stockout_days"),
+        mean_of(df, "sales").alias("avg_sales")).withColumn(
         "stockout_rate", round_scaled(F.col("stockout_days") / F.col("total_days") * 100, 1))
 
 
@@ -62,8 +72,14 @@ def stockout_by_dow(df: DataFrame) -> DataFrame:
 
 
 def season_means(df: DataFrame, value: str, flags: list[str]) -> DataFrame:
-    """Mean of a value with each flag set and not set, in one pass, as (flag, inside, outside)."""
-    sums = df.agg(*[F.avg(F.when(F.col(f) == v, F.col(value))).alias(f"{f}_{v}") for f in flags for v in (1, 0)])
+    """Mean of a value with each flag set and not set, in one pass, as (flag, inside, outside); from the panel or its sums."""
+    if "_rows" in df.columns:
+        kind = {"sales": "sales", "is_zero_sale": "zeros"}[value]
+        ins = {f: (F.sum(f"{f}_{kind}"), F.sum(f"{f}_rows")) for f in flags}
+        sums = df.agg(*[F.try_divide(a, n).alias(f"{f}_1") for f, (a, n) in ins.items()],
+                      *[F.try_divide(F.sum(value) - a, F.sum("_rows") - n).alias(f"{f}_0") for f, (a, n) in ins.items()])
+    else:
+        sums = df.agg(*[F.avg(F.when(F.col(f) == v, F.col(value))).alias(f"{f}_{v}") for f in flags for v in (1, 0)])
     return sums.select(F.inline(F.array(*[
         F.struct(F.lit(f).alias("flag"), F.col(f"{f}_1").alias("inside"), F.col(f"{f}_0").alias("outside"))
         for f in flags])))
@@ -79,12 +95,12 @@ def stockout_by_season(df: DataFrame) -> DataFrame:
 
 
 def stockout_by_family(df: DataFrame, n: int = 15) -> DataFrame:
-    return (df.groupBy("family").agg(_zero_rate().alias("stockout_rate"))
+    return (df.groupBy("family").agg(_zero_rate(df).alias("stockout_rate"))
             .orderBy(F.desc("stockout_rate"), "family").limit(n))
 
 
 def stockout_by_month(df: DataFrame) -> DataFrame:
-    return df.groupBy("month").agg(_zero_rate().alias("stockout_rate"))
+    return df.groupBy("month").agg(_zero_rate(df).alias("stockout_rate"))
 
 
 def attribute_lookup(df: DataFrame, keys: str, columns: list[str]) -> DataFrame:
@@ -247,7 +263,7 @@ def stockout_heatmap(df: DataFrame, categories: list[str], n: int = 20) -> DataF
 
     Sums per store and category come first; picking the stores and pivoting then touch only those.
     """
-    sums = df.groupBy("store_id", "category").agg(F.sum("is_zero_sale").alias("z"), F.count("is_zero_sale").alias("n"))
+    sums = df.groupBy("store_id", "category").agg(F.sum("is_zero_sale").alias("z"), row_count(df).alias("n"))
     per_store = sums.groupBy("store_id").agg((F.sum("z") / F.sum("n")).alias("_rate"))
     worst = per_store.orderBy(F.desc("_rate"), "store_id").limit(n).select("store_id")
     cells = sums.join(F.broadcast(worst), "store_id", "left_semi")  # n rows

@@ -780,6 +780,7 @@ add(
 # ---- whole flows
 FEATURED_DOUBLES = ["sales", "oil_price", *LAGS, *MEANS, *STDS, *RANGE, *TREND, "store_product_avg", "store_avg_daily_sales",
                     "family_avg_sales", "family_popularity_rank", "sales_vs_store_avg"]
+SEASON_FLAGS = ["is_ramadan_period", "is_wedding_season", "is_summer_peak", "is_payday_week", "is_school_season"]
 READY_METRICS = f"""SELECT {{0}}, {dec('avg(CAST(sales AS DOUBLE))')} AS a, {dec('sum(CAST(sales AS DOUBLE))', 'DECIMAL(25,2)')} AS t,
     {dec('avg(is_zero_sale) * 100', 'DECIMAL(5,2)')} AS z FROM ready GROUP BY {{0}}""".replace("{:.2f}", "{{:.2f}}")
 READY_DOUBLES = ["sales", *LAGS, *MEANS, *STDS, *TREND, "store_avg_daily_sales", "family_avg_sales", "store_product_avg",
@@ -788,6 +789,15 @@ add(
     flow_clean=f"SELECT * REPLACE ({rs('sales', 'oil_price')}, {d()}) FROM merged",
     flow_features=f"""SELECT * REPLACE ({rs(*FEATURED_DOUBLES)}, {d()}, {i('zero_sales_last_7d', 'zero_sales_last_7d')},
         {i('consecutive_zeros', 'consecutive_zeros')}) FROM featured""",
+    incremental_features=f"""SELECT * REPLACE ({rs(*FEATURED_DOUBLES)}, {d()}, {i('zero_sales_last_7d', 'zero_sales_last_7d')},
+        {i('consecutive_zeros', 'consecutive_zeros')}) FROM featured WHERE date > (SELECT max(date) FROM featured) - INTERVAL 7 DAY""",
+    panel_rollup=" UNION ALL ".join(f"""SELECT store_id, family, city, store_type, category, {month} AS year_month, {number} AS month, {day} AS day_name,
+        {r('sum(sales)', 'sales')}, {n('sum(is_zero_sale)', 'is_zero_sale')}, {n('sum(onpromotion)', 'onpromotion')}, count(*) AS _rows,
+        count(*) FILTER (sales > 0) AS _sold, {', '.join(
+            f"""count(*) FILTER ({f} = 1) AS {f}_rows, {r(f'coalesce(sum(sales) FILTER ({f} = 1), 0)', f'{f}_sales')},
+            {n(f'coalesce(sum(is_zero_sale) FILTER ({f} = 1), 0)', f'{f}_zeros')}""" for f in SEASON_FLAGS)}, '{part}' AS part
+        FROM analysed GROUP BY ALL""" for part, month, number, day in (
+            ("month", "strftime(date, '%Y-%m')", "month", "'-'"), ("weekday", "'-'", "-1", "day_name"))),
     flow_warehouse="""SELECT 'accepted' AS outcome, count(*) AS n FROM fact UNION ALL
         SELECT 'unknown_family', count(*) FROM featured WHERE family NOT IN (SELECT family FROM seed)""",
     flow_ml_ready=f"SELECT * REPLACE ({rs(*READY_DOUBLES)}, {d()}) FROM ready",

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfline.operators import (cleaning as cl, encoding as en, features as ft, flows, forecasting as fc,
-                                 merging as mg, profiling as pf, questions as qs, reports as rp, stockout as so,
+                                 incremental as ic, merging as mg, profiling as pf, questions as qs, reports as rp, stockout as so,
                                  warehouse as wh)
 from shelfline.schemas import CPI, FACT_DECIMALS, FACT_INTEGERS, HOLIDAYS, OIL, SALES, STORES
 from shelfline.sources import calendar as ca, readers as rd, sinks as sk
@@ -603,37 +603,37 @@ def sales_vs_store_avg(b):
 
 @query
 def stockout_overall(b):
-    return so.stockout_overall(b.analysed)
+    return so.stockout_overall(b.monthly)
 
 
 @query
 def stockout_by_store_type(b):
-    return so.stockout_by_store_type(b.analysed)
+    return so.stockout_by_store_type(b.monthly)
 
 
 @query
 def stockout_by_category(b):
-    return so.stockout_by_category(b.analysed, 10)
+    return so.stockout_by_category(b.monthly, 10)
 
 
 @query
 def stockout_by_dow(b):
-    return so.stockout_by_dow(b.analysed)
+    return so.stockout_by_dow(b.weekdays)
 
 
 @query
 def stockout_by_season(b):
-    return so.stockout_by_season(b.analysed)
+    return so.stockout_by_season(b.monthly)
 
 
 @query
 def stockout_by_family(b):
-    return so.stockout_by_family(b.analysed)
+    return so.stockout_by_family(b.monthly)
 
 
 @query
 def stockout_by_month(b):
-    return so.stockout_by_month(b.analysed)
+    return so.stockout_by_month(b.monthly)
 
 
 @query
@@ -667,7 +667,7 @@ def alert_volume_by_family(b):
 
 @query
 def stockout_heatmap(b):
-    return so.stockout_heatmap(b.analysed, CATEGORIES)
+    return so.stockout_heatmap(b.monthly, CATEGORIES)
 
 
 @query
@@ -981,7 +981,7 @@ def season_feature_tag(b):
 
 @query
 def dash_kpis(b):
-    return rp.dash_kpis(b.analysed)
+    return rp.dash_kpis(b.monthly)
 
 
 @query
@@ -992,52 +992,52 @@ def dash_filter_counts(b):
 
 @query
 def dash_monthly_sales(b):
-    return rp.dash_monthly_sales(b.analysed)
+    return rp.dash_monthly_sales(b.monthly)
 
 
 @query
 def dash_sales_by_type(b):
-    return rp.dash_sales_by_type(b.analysed)
+    return rp.dash_sales_by_type(b.monthly)
 
 
 @query
 def dash_top_products(b):
-    return rp.dash_top_products(b.analysed)
+    return rp.dash_top_products(b.monthly)
 
 
 @query
 def dash_dow_pattern(b):
-    return rp.dash_dow_pattern(b.analysed)
+    return rp.dash_dow_pattern(b.weekdays)
 
 
 @query
 def dash_season_impact(b):
-    return rp.dash_season_impact(b.analysed)
+    return rp.dash_season_impact(b.monthly)
 
 
 @query
 def dash_stockout_kpis(b):
-    return rp.dash_stockout_kpis(b.analysed)
+    return rp.dash_stockout_kpis(b.monthly)
 
 
 @query
 def dash_stockout_by_type(b):
-    return rp.dash_stockout_by_type(b.analysed)
+    return rp.dash_stockout_by_type(b.monthly)
 
 
 @query
 def dash_stockout_by_category(b):
-    return rp.dash_stockout_by_category(b.analysed)
+    return rp.dash_stockout_by_category(b.monthly)
 
 
 @query
 def dash_monthly_stockout(b):
-    return rp.dash_monthly_stockout(b.analysed)
+    return rp.dash_monthly_stockout(b.monthly)
 
 
 @query
 def dash_stockout_heatmap(b):
-    return rp.dash_stockout_heatmap(b.analysed, CATEGORIES)
+    return rp.dash_stockout_heatmap(b.monthly, CATEGORIES)
 
 
 @query
@@ -1052,22 +1052,22 @@ def dash_alert_products(b):
 
 @query
 def dash_store_card(b):
-    return rp.dash_store_card(b.analysed, _first_store(b.ml_ready))
+    return rp.dash_store_card(b.monthly, _first_store(b.monthly))
 
 
 @query
 def dash_store_monthly(b):
-    return rp.dash_store_monthly(b.analysed, _first_store(b.ml_ready))
+    return rp.dash_store_monthly(b.monthly, _first_store(b.monthly))
 
 
 @query
 def dash_store_top_products(b):
-    return rp.dash_store_top_products(b.analysed, _first_store(b.ml_ready))
+    return rp.dash_store_top_products(b.monthly, _first_store(b.monthly))
 
 
 @query
 def dash_store_stockout_by_product(b):
-    return rp.dash_store_stockout_by_product(b.analysed, _first_store(b.ml_ready))
+    return rp.dash_store_stockout_by_product(b.monthly, _first_store(b.monthly))
 
 
 @query
@@ -1099,6 +1099,19 @@ def flow_warehouse(b):
     return kept.unionByName(_count(b.house.rejects.withColumnRenamed("reject_reason", "outcome"), "outcome"))
 
 
+@query
+def incremental_features(b):
+    """The last seven days from the state of the days before them: what a run over the whole history gives for those days."""
+    first = F.date_sub(b.merged.agg(F.max("date")).scalar(), 6)
+    state = b.stage(ic.series_state(b.featured.where(F.col("date") < first)), "series_state")
+    return ic.new_day_features(state, b.merged.where(F.col("date") >= first), stage=b.stage).select(b.featured.columns)
+
+
+@query
+def panel_rollup(b):
+    return b.rollup.fillna("-", ["year_month", "day_name"]).fillna(-1, ["month"])
+
+
 @query
 def flow_ml_ready(b):
     return b.ml_ready

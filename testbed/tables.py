@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from shelfline.operators import flows, forecasting
+from shelfline.operators import flows, forecasting, rollup
 from shelfline.operators.stockout import attach_predictions, risk_scores
 from shelfline.operators.panel import densify_panel
 from shelfline.plans.sizing import join_dim
@@ -182,6 +182,19 @@ class Bed:
         return self._once("analysed", lambda: self.ml_ready.withColumns({
             c: F.col(c).cast("double") for c, t in self.ml_ready.dtypes if t.startswith("decimal")}))
 
+    @property
+    def rollup(self) -> DataFrame:
+        """Sums of the panel that the reports share."""
+        return self._once("rollup", lambda: self.stage(rollup.panel_rollup(self.analysed), "rollup", ("part",)))
+
+    @property
+    def monthly(self) -> DataFrame:
+        return rollup.by_month(self.rollup)
+
+    @property
+    def weekdays(self) -> DataFrame:
+        return rollup.by_weekday(self.rollup)
+
     @property
     def predictions(self) -> DataFrame:
         """Stand-in forecast for the test year: sales seven rows back."""
