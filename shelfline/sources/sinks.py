@@ -29,6 +29,19 @@ def write_panel(panel: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer.csv(path, header=True) if fmt == "csv" else writer.format(fmt).save(path)
 
 
+def write_bucketed(panel: DataFrame, table: str, path: str, buckets: int | None = None) -> DataFrame:
+    """Write a panel as a table in buckets by series, sorted by series and day, and return the table.
+
+    Windows over a series, sums per series and joins of such tables then need no exchange. There are as many buckets as shuffle
+    partitions unless told otherwise, and one file each. ``path`` is a folder that every executor can reach; the catalog holds the rest.
+    """
+    spark = panel.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (panel.repartition(count, *PANEL_ORDER[:2]).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(count, *PANEL_ORDER[:2]).sortBy(*PANEL_ORDER).saveAsTable(table))
+    return spark.table(table)
+
+
 def full_reload(table: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Replace a warehouse table as a whole."""
     writer = table.write.mode("overwrite")

@@ -789,6 +789,14 @@ add(
     flow_clean=f"SELECT * REPLACE ({rs('sales', 'oil_price')}, {d()}) FROM merged",
     flow_features=f"""SELECT * REPLACE ({rs(*FEATURED_DOUBLES)}, {d()}, {i('zero_sales_last_7d', 'zero_sales_last_7d')},
         {i('consecutive_zeros', 'consecutive_zeros')}) FROM featured""",
+    bucketed_features=f"""SELECT {PANEL}, {', '.join(r(f'coalesce({e}, -1)', c) for c, e in LAGS.items())}, is_zero_sale,
+        {i(f'sum(is_zero_sale) {window(7)}', 'zero_sales_last_7d')},
+        {i(f'pos - coalesce(max(CASE WHEN is_zero_sale = 0 THEN pos END) {W}, 0)', 'consecutive_zeros')},
+        {r('avg(sales) OVER (PARTITION BY store_id, family)', 'store_product_avg')}
+        FROM (SELECT *, CASE WHEN sales = 0 THEN 1 ELSE 0 END AS is_zero_sale, row_number() {W} AS pos FROM panel)""",
+    read_sales_csv=f"SELECT {d()}, store_nbr, family, {rs('sales')}, onpromotion FROM raw_sales",
+    critical_null_counts="""SELECT count(*) FILTER (date IS NULL) AS date, count(*) FILTER (store_id IS NULL) AS store_id,
+        count(*) FILTER (month(date) = 5) AS family, count(*) FILTER (isodow(date) = 7) AS sales FROM panel""",
     incremental_features=f"""SELECT * REPLACE ({rs(*FEATURED_DOUBLES)}, {d()}, {i('zero_sales_last_7d', 'zero_sales_last_7d')},
         {i('consecutive_zeros', 'consecutive_zeros')}) FROM featured WHERE date > (SELECT max(date) FROM featured) - INTERVAL 7 DAY""",
     panel_rollup=" UNION ALL ".join(f"""SELECT store_id, family, city, store_type, category, {month} AS year_month, {number} AS month, {day} AS day_name,

@@ -1099,6 +1099,29 @@ def flow_warehouse(b):
     return kept.unionByName(_count(b.house.rejects.withColumnRenamed("reject_reason", "outcome"), "outcome"))
 
 
+@query
+def bucketed_features(b):
+    """Lags, streaks and series means over the bucketed panel: no row of it is exchanged."""
+    panel = b.bucketed.select(*SERIES_DAY, "sales")
+    sums = ft.series_sums(panel).select("store_id", "family", (F.col("_sum") / F.col("_n")).alias("store_product_avg"))
+    return ft.stockout_features(ft.lag_features(panel)).join(sums, ["store_id", "family"]).fillna(-1.0)
+
+
+@query
+def read_sales_csv(b):
+    """Sales written as CSV and read back by the CSV reader, which is the default."""
+    folder = f"{b.stage.root}/sales_csv_{uuid.uuid4().hex}"
+    b.raw.sales.select(SALES.fieldNames()).write.csv(folder, header=True)
+    return rd.read_sales(b.spark, folder).select(SALES.fieldNames())
+
+
+@query
+def critical_null_counts(b):
+    """Null counts of the key columns, on a panel with holes: no family in May, no sales on Sundays."""
+    holes = b.panel.withColumns({"family": F.when(F.month("date") != 5, F.col("family")), "sales": F.when(F.weekday("date") != 6, F.col("sales"))})
+    return cl.critical_null_counts(holes)
+
+
 @query
 def incremental_features(b):
     """The last seven days from the state of the days before them: what a run over the whole history gives for those days."""

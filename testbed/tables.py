@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -12,6 +13,7 @@ from shelfline.operators.panel import densify_panel
 from shelfline.plans.sizing import join_dim
 from shelfline.plans.staging import Stage, WrittenTables, lazy
 from shelfline.sources.products import product_seed
+from shelfline.sources.sinks import write_bucketed
 
 TEST_FROM = 2001
 STAPLE = "ECONOMY"
@@ -42,8 +44,8 @@ def sales_lines(spark: SparkSession, d: str) -> DataFrame:
             .select("date", "store_nbr", "family", "sales", "onpromotion"))
 
 
-def raw_sales(spark: SparkSession, d: str) -> DataFrame:
-    return densify_panel(sales_lines(spark, d), ["store_nbr", "family"]).select(
+def raw_sales(spark: SparkSession, d: str, stage: Stage = lazy) -> DataFrame:
+    return densify_panel(sales_lines(spark, d), ["store_nbr", "family"], stage=stage).select(
         "date", "store_nbr", "family", "sales", "onpromotion")
 
 
@@ -111,7 +113,7 @@ class StandIns:
 
     @cached_property
     def sales(self) -> DataFrame:
-        return self.stage(raw_sales(self.spark, self.dir), "raw_sales")
+        return self.stage(raw_sales(self.spark, self.dir, self.stage), "raw_sales")
 
     @cached_property
     def stores(self) -> DataFrame:
@@ -160,6 +162,12 @@ class Bed:
         """Raw sales under the panel's key names."""
         return self.raw.sales.withColumnRenamed("store_nbr", "store_id")
 
+    @property
+    def bucketed(self) -> DataFrame:
+        """The raw panel as a table in buckets by series."""
+        return self._once("bucketed", lambda: write_bucketed(
+            self.panel, f"panel_{uuid.uuid4().hex}", f"{self.stage.root}/panel_bucketed"))
+
     @property
     def merged(self) -> DataFrame:
         return self._once("merged", lambda: flows.clean_flow(self.raw, self.stage))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from shelfline.operators import features as ft
 from shelfline.operators.panel import densify_panel
+from shelfline.plans.staging import WrittenTables
 from shelfline.schemas import SALES
+from shelfline.sources.sinks import write_bucketed
 
 rng = np.random.default_rng(3)
 VALUES = {(1, "A"): rng.integers(0, 4, 60).tolist(), (1, "B"): [5], (2, "A"): [3, 4], (2, "B"): [0] * 300}
@@ -118,3 +120,29 @@ def test_dense_panel_feeds_windows_without_another_shuffle(spark):
     plan = ft.lag_features(dense)._jdf.queryExecution().executedPlan().toString()
     series_exchanges = [l for l in plan.split("\n") if "Exchange hashpartitioning(store_id" in l and "date" not in l]
     assert len(series_exchanges) == 1
+
+
+def test_bucketed_panel_is_not_exchanged(spark, panel, tmp_path):
+    table = write_bucketed(panel.select("store_id", "family", "date", "sales"), "bucketed_panel_test", str(tmp_path / "panel"), 4)
+    sums = ft.series_sums(table)
+    windows = ft.stockout_features(ft.history_features(table))
+    joined = windows.join(sums, ["store_id", "family"]).hint("merge")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a table of any size
+    try:
+        for df in (sums, windows, joined):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    cols = windows.columns
+    pd.testing.assert_frame_equal(by_pandas(windows), by_pandas(ft.stockout_features(ft.history_features(panel)).select(cols)))
+    spark.sql("DROP TABLE bucketed_panel_test")
+
+
+def test_densify_from_written_sums_is_the_same(spark, tmp_path):
+    day = lambda k: dt.date(2020, 1, k)
+    rows = [(day(1), 1, "A", 2.0, 1), (day(1), 1, "A", 3.0, 1), (day(3), 1, "A", 1.0, 0), (day(2), 2, "B", 4.0, 0)]
+    sales = spark.createDataFrame(rows, SALES)
+    with WrittenTables(spark, str(tmp_path)) as stage:
+        written = densify_panel(sales, ["store_nbr", "family"], stage=stage)
+        keys = ["store_nbr", "family", "date"]
+        pd.testing.assert_frame_equal(*[df.toPandas().sort_values(keys, ignore_index=True) for df in (written, densify_panel(sales, keys[:2]))])
