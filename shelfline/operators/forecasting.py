@@ -6,6 +6,7 @@ import time
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -113,44 +114,54 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame
     return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/metrics")
 
 
-_EPOCH = np.datetime64("2000-01-01")
-
-
-def _season_terms(days: np.ndarray, span: float, start: float, knots: int = 25) -> np.ndarray:
-    """Trend with hinges over the first 80 % of the training span, yearly and weekly Fourier terms."""
-    t = (days - start) / span
-    columns = [np.ones_like(t), t]
-    columns += [np.maximum(t - k, 0.0) for k in np.linspace(0, 0.8, knots + 1)[1:]]
-    for period, order in ((365.25, 10), (7.0, 3)):
-        for k in range(1, order + 1):
-            angle = 2 * np.pi * k * days / period
-            columns += [np.sin(angle), np.cos(angle)]
-    return np.column_stack(columns)
-
-
-def _fit_series(test_from: int, min_train: int, min_test: int):
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        stamps = pd.to_datetime(pdf["date"])
-        in_test = (stamps.dt.year >= test_from).to_numpy()
-        target = pdf["sales"].to_numpy(float)
-        empty = pdf.iloc[:0][["store_id", "family", "date"]].assign(actual=0.0, predicted=0.0, train_size=0)
-        if (~in_test).sum() < min_train or in_test.sum() < min_test:
-            return empty
-        days = (stamps.to_numpy().astype("datetime64[D]") - _EPOCH).astype(float)
-        start, span = days[~in_test].min(), max(np.ptp(days[~in_test]), 1.0)
-        design = _season_terms(days, span, start)
-        penalty = np.full(design.shape[1], 0.1)
-        penalty[:2], penalty[2:27] = 1e-6, 20.0  # hinges are held back most, level and slope hardly
-        known = design[~in_test]
-        weights = np.linalg.solve(known.T @ known + np.diag(penalty), known.T @ target[~in_test])
-        out = pdf.loc[in_test, ["store_id", "family", "date"]].copy()
-        out["actual"] = target[in_test]
-        out["predicted"] = np.clip(design[in_test] @ weights, 0, None)
-        out["train_size"] = int((~in_test).sum())
-        return out
-
-    return fit
+EPOCH = "2000-01-01"
+KNOTS, PERIODS = 25, ((365.25, 10), (7.0, 3))
+TERMS = 2 + KNOTS + 2 * sum(order for _, order in PERIODS)
+
+
+def season_terms(day: Column, start: Column, span: Column) -> list[Column]:
+    """Level, trend with hinges over the first 80 % of the training span, yearly and weekly Fourier terms of a day."""
+    t = (day - start) / span
+    hinges = [F.greatest(t - F.lit(float(k)), F.lit(0.0)) for k in np.linspace(0, 0.8, KNOTS + 1)[1:]]
+    waves = [wave(day * F.lit(2 * np.pi * k / period)) for period, order in PERIODS for k in range(1, order + 1) for wave in (F.sin, F.cos)]
+    return [F.lit(1.0), t, *hinges, *waves]
+
+
+def _normal_sums(batches):
+    """X'X (upper half) and X'y of the rows of each series in a batch, in one array; such arrays add up."""
+    upper = np.triu_indices(TERMS)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        terms = batch.column("terms").flatten().to_numpy().reshape(-1, TERMS)
+        sales = batch.column("sales").to_numpy()
+        keys = pd.MultiIndex.from_arrays([batch.column(c).to_pandas() for c in SERIES])
+        codes, series = keys.factorize()
+        order = np.argsort(codes, kind="stable")
+        ends = np.searchsorted(codes[order], np.arange(len(series) + 1))
+        sums = []
+        for first, last in zip(ends[:-1], ends[1:]):
+            rows = order[first:last]
+            x = terms[rows]
+            sums.append(np.concatenate([(x.T @ x)[upper], x.T @ sales[rows]]))
+        yield pa.RecordBatch.from_arrays([
+            pa.array(series.get_level_values(0), pa.int32()), pa.array(series.get_level_values(1), pa.string()), pa.array(sums, pa.list_(pa.float64()))],
+            [*SERIES, "sums"])
+
+
+def _solve(batches):
+    """Ridge weights of each series from its sums; hinges are held back most, level and slope hardly."""
+    penalty = np.full(TERMS, 0.1)
+    penalty[:2], penalty[2:2 + KNOTS] = 1e-6, 20.0
+    upper = np.triu_indices(TERMS)
+    for batch in batches:
+        out = []
+        for sums in batch.column("sums").to_pylist():
+            square = np.zeros((TERMS, TERMS))
+            square[upper] = sums[:-TERMS]
+            square += np.triu(square, 1).T
+            out.append(np.linalg.solve(square + np.diag(penalty), np.array(sums[-TERMS:])))
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in SERIES], pa.array(out, pa.list_(pa.float64()))], [*SERIES, "weights"])
 
 
 def top_series(df: DataFrame, k: int = 3) -> DataFrame:
@@ -162,15 +173,30 @@ def seasonal_forecast(df: DataFrame, test_from: int, k: int | None = None, min_t
                       min_test: int = 10) -> DataFrame:
     """A trend and season model per series, all series in parallel (or the k with most sales).
 
-    Each group holds one series, at most one row per day. Predictions are made on the dates of the test
+    The fit of a series rests on sums over its training days alone, which tasks add up in arrays; weights are solved per series and
+    predictions are expressions over the test rows. No series is ever gathered. Predictions are made on the dates of the test
     rows themselves.
     """
     rows = df.groupBy(*SERIES, "date").agg(F.sum(F.col("sales").cast("double")).alias("sales"))
     if k is not None:
         rows = rows.join(F.broadcast(top_series(df, k).select(*SERIES)), SERIES, "left_semi")  # k rows
-    return rows.groupBy(*SERIES).applyInPandas(
-        _fit_series(test_from, min_train, min_test),
-        "store_id int, family string, date date, actual double, predicted double, train_size int")
+    rows = rows.withColumns({"store_id": F.col("store_id").cast("int"), "_day": F.datediff("date", F.lit(EPOCH).cast("date")).cast("double"),
+                             "_test": F.year("date") >= test_from})
+    day = F.when(~F.col("_test"), F.col("_day"))
+    spans = rows.groupBy(*SERIES).agg(
+        F.min(day).alias("_start"), F.greatest(F.max(day) - F.min(day), F.lit(1.0)).alias("_span"),
+        F.count_if(~F.col("_test")).cast("int").alias("train_size"), F.count_if("_test").alias("_tests")
+    ).where((F.col("train_size") >= min_train) & (F.col("_tests") >= min_test)).drop("_tests")
+    placed = rows.join(spans, SERIES).withColumn("terms", F.array(*season_terms(F.col("_day"), F.col("_start"), F.col("_span"))))
+    parts = placed.where(~F.col("_test")).select(*SERIES, "sales", "terms").mapInArrow(
+        _normal_sums, "store_id int, family string, sums array<double>")
+    none = F.array_repeat(F.lit(0.0), TERMS * (TERMS + 1) // 2 + TERMS)
+    # an array for each batch that held days of the series, so no more than it has days
+    sums = parts.groupBy(*SERIES).agg(F.aggregate(F.collect_list("sums"), none, lambda a, x: F.zip_with(a, x, lambda p, q: p + q)).alias("sums"))
+    weights = sums.mapInArrow(_solve, "store_id int, family string, weights array<double>")
+    fitted = F.aggregate(F.zip_with("weights", "terms", lambda w, x: w * x), F.lit(0.0), lambda a, x: a + x)
+    return placed.where("_test").join(weights, SERIES).select(
+        *SERIES, "date", F.col("sales").alias("actual"), F.greatest(fitted, F.lit(0.0)).alias("predicted"), "train_size")
 
 
 def seasonal_metrics(forecast: DataFrame) -> DataFrame:

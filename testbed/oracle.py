@@ -720,6 +720,10 @@ add(yoy_growth=YEARS, q08_yoy_growth=YEARS)
 add(
     feature_matrix=f"""SELECT {KEY}, {rs('sales')}, {r(' + '.join(f'CAST({c} AS DOUBLE)' for c in MODEL_FEATURES), 'feature_sum')}
         FROM ready""",
+    seasonal_forecast_facts=f"""SELECT store_id, family, count(*) FILTER (year >= 2001) AS test_rows, count(*) FILTER (year >= 2001) AS forecast_rows,
+        {d('min(date) FILTER (year >= 2001)', 'first_day')}, {d('max(date) FILTER (year >= 2001)', 'last_day')},
+        {r('sum(sales) FILTER (year >= 2001)', 'sales')}, {i('count(*) FILTER (year < 2001)', 'train_size')} FROM analysed
+        GROUP BY store_id, family HAVING count(*) FILTER (year < 2001) >= 100 AND count(*) FILTER (year >= 2001) >= 10""",
     prediction_errors=f"SELECT {KEY}, {rs('actual', 'predicted')}, {r('actual - predicted', 'error')} FROM preds",
     error_histogram=f"""SELECT {i('least(floor((e - lo) / (hi - lo) * 100) + 1, 100)', 'bin')}, count(*) AS rows,
         {r('min(lo)', 'lowest_error')}, {r('min(hi)', 'highest_error')} FROM (SELECT e, min(e) OVER () AS lo,

@@ -940,6 +940,14 @@ def seasonal_forecast(b):
     return fc.seasonal_forecast(b.analysed, TEST_FROM)
 
 
+@query
+def seasonal_forecast_facts(b):
+    """What SQL can tell of the forecast: the rows, days and sales of each series that has enough of them."""
+    return fc.seasonal_forecast(b.analysed, TEST_FROM).groupBy("store_id", "family").agg(
+        F.count(F.lit(1)).alias("test_rows"), F.count_if(F.col("predicted") >= 0).alias("forecast_rows"), F.min("date").alias("first_day"),
+        F.max("date").alias("last_day"), F.sum("actual").alias("sales"), F.min("train_size").alias("train_size"))
+
+
 @query
 def seasonal_metrics(b):
     return fc.seasonal_metrics(fc.seasonal_forecast(b.analysed, TEST_FROM, k=3))

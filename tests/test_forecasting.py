@@ -53,6 +53,30 @@ def test_seasonal_forecast(ready):
     assert fc.seasonal_forecast(ready, 2022, min_train=732).count() == 0
 
 
+def plain_fit(days, sales, train):
+    """The ridge fit of one series over its whole design matrix."""
+    start, span = days[train].min(), max(np.ptp(days[train]), 1.0)
+    t = (days - start) / span
+    columns = [np.ones_like(t), t, *[np.maximum(t - k, 0.0) for k in np.linspace(0, 0.8, 26)[1:]]]
+    for period, order in ((365.25, 10), (7.0, 3)):
+        for k in range(1, order + 1):
+            columns += [np.sin(2 * np.pi * k * days / period), np.cos(2 * np.pi * k * days / period)]
+    design = np.column_stack(columns)
+    penalty = np.diag([1e-6] * 2 + [20.0] * 25 + [0.1] * 26)
+    weights = np.linalg.solve(design[train].T @ design[train] + penalty, design[train].T @ sales[train])
+    return np.clip(design[~train] @ weights, 0, None)
+
+
+def test_sums_give_the_fit_of_the_whole_series(ready):
+    got = fc.seasonal_forecast(ready.repartition(7), 2022).toPandas().sort_values(["store_id", "family", "date"])
+    rows = ready.toPandas().sort_values(["store_id", "family", "date"])
+    for key, own in rows.groupby(["store_id", "family"]):
+        stamps = np.array(own["date"], "datetime64[D]")
+        want = plain_fit((stamps - np.datetime64(fc.EPOCH)).astype(float), own["sales"].to_numpy(float), stamps < np.datetime64("2022-01-01"))
+        mine = got[(got.store_id == key[0]) & (got.family == key[1])]
+        np.testing.assert_allclose(mine["predicted"], want, rtol=1e-6, atol=1e-6)
+
+
 def test_model_comparison_names_a_winner(spark):
     trees = spark.createDataFrame([(1.0, 1.0, 0.9)], "MAE double, RMSE double, R2 double")
     series_ = spark.createDataFrame([(2.0, 2.0, 0.7), (2.0, 4.0, 0.9)], "MAE double, RMSE double, R2 double")
