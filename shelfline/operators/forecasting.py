@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shelfline.functions.lookups import MODEL_FEATURES, SEASON_WORDS
 from shelfline.operators.features import SERIES
@@ -127,13 +128,21 @@ def season_terms(day: Column, start: Column, span: Column) -> list[Column]:
     return [F.lit(1.0), t, *hinges, *waves]
 
 
+def _term_matrix(day: np.ndarray, start: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """The terms of ``season_terms`` for many rows."""
+    t = (day - start) / span
+    hinges = [np.maximum(t - k, 0.0) for k in np.linspace(0, 0.8, KNOTS + 1)[1:]]
+    waves = [wave(day * (2 * np.pi * k / period)) for period, order in PERIODS for k in range(1, order + 1) for wave in (np.sin, np.cos)]
+    return np.column_stack([np.ones_like(t), t, *hinges, *waves])
+
+
 def _normal_sums(batches):
     """X'X (upper half) and X'y of the rows of each series in a batch, in one array; such arrays add up."""
     upper = np.triu_indices(TERMS)
     for batch in batches:
         if not batch.num_rows:
             continue
-        terms = batch.column("terms").flatten().to_numpy().reshape(-1, TERMS)
+        terms = _term_matrix(*[batch.column(c).to_numpy() for c in ("_day", "_start", "_span")])
         sales = batch.column("sales").to_numpy()
         keys = pd.MultiIndex.from_arrays([batch.column(c).to_pandas() for c in SERIES])
         codes, series = keys.factorize()
@@ -183,18 +192,19 @@ def seasonal_forecast(df: DataFrame, test_from: int, k: int | None = None, min_t
     rows = rows.withColumns({"store_id": F.col("store_id").cast("int"), "_day": F.datediff("date", F.lit(EPOCH).cast("date")).cast("double"),
                              "_test": F.year("date") >= test_from})
     day = F.when(~F.col("_test"), F.col("_day"))
-    spans = rows.groupBy(*SERIES).agg(
-        F.min(day).alias("_start"), F.greatest(F.max(day) - F.min(day), F.lit(1.0)).alias("_span"),
-        F.count_if(~F.col("_test")).cast("int").alias("train_size"), F.count_if("_test").alias("_tests")
-    ).where((F.col("train_size") >= min_train) & (F.col("_tests") >= min_test)).drop("_tests")
-    placed = rows.join(spans, SERIES).withColumn("terms", F.array(*season_terms(F.col("_day"), F.col("_start"), F.col("_span"))))
-    parts = placed.where(~F.col("_test")).select(*SERIES, "sales", "terms").mapInArrow(
+    series = Window.partitionBy(*SERIES)  # at most one row per day
+    first, last = F.min(day).over(series), F.max(day).over(series)
+    placed = rows.withColumns({
+        "_start": first, "_span": F.greatest(last - first, F.lit(1.0)), "train_size": F.count_if(~F.col("_test")).over(series).cast("int"),
+        "_tests": F.count_if("_test").over(series)}).where((F.col("train_size") >= min_train) & (F.col("_tests") >= min_test))
+    parts = placed.where(~F.col("_test")).select(*SERIES, "sales", "_day", "_start", "_span").mapInArrow(
         _normal_sums, "store_id int, family string, sums array<double>")
     none = F.array_repeat(F.lit(0.0), TERMS * (TERMS + 1) // 2 + TERMS)
     # an array for each batch that held days of the series, so no more than it has days
     sums = parts.groupBy(*SERIES).agg(F.aggregate(F.collect_list("sums"), none, lambda a, x: F.zip_with(a, x, lambda p, q: p + q)).alias("sums"))
     weights = sums.mapInArrow(_solve, "store_id int, family string, weights array<double>")
-    fitted = F.aggregate(F.zip_with("weights", "terms", lambda w, x: w * x), F.lit(0.0), lambda a, x: a + x)
+    terms = season_terms(F.col("_day"), F.col("_start"), F.col("_span"))
+    fitted = reduce(lambda a, b: a + b, [F.col("weights")[k] * term for k, term in enumerate(terms)])
     return placed.where("_test").join(weights, SERIES).select(
         *SERIES, "date", F.col("sales").alias("actual"), F.greatest(fitted, F.lit(0.0)).alias("predicted"), "train_size")
 
