@@ -4,13 +4,16 @@ Texts are cut into pieces at the start of a blank that follows an ASCII characte
 ends anyway; each distinct piece of a batch is matched once, and each distinct match is merged once. Matches of like
 length form a matrix of token ids. In every round each row merges its leftmost pair of minimum rank: the ranks are
 looked up in a hash table of pairs when a pair comes into being, and the row is moved together over the gap.
+A round costs a row its width, so the merges of a match of more than ``WIDE`` bytes come from a heap by rank and place.
 """
 
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +25,7 @@ from shelfline.llm.arrays import BLANKS, chunks, list_array, mix, ragged, text_b
 
 NO_RANK = np.int32(2 ** 31 - 1)
 MATRIX_CELLS = 2_000_000
+WIDE = 512
 IS_BLANK = np.isin(np.arange(256), BLANKS)
 #: after these a blank starts a new piece: ASCII characters that are no white space in any reading
 BEFORE_CUT = (np.arange(256) < 128) & ~IS_BLANK & ~np.isin(np.arange(256), np.arange(0x1C, 0x20))
@@ -114,6 +118,41 @@ class Vocabulary:
             ranks[own[left], at[left] - 1] = self.pair_ranks(ids[own[left], at[left] - 1], ids[own[left], at[left]])
         return done
 
+    def merge_long(self, match: bytes) -> np.ndarray:
+        """Ids of one long match: the same merges in the same order, the next one from a heap.
+
+        Parts are known by their first byte; an entry of the heap is void once its pair has another rank, as a pair only
+        grows. Time is n log n, and memory some 70 bytes for each byte of the match.
+        """
+        size, none, rank_of = len(match), int(NO_RANK), self.ranks.get
+        after, before = array("q", range(1, size + 1)), array("q", range(-1, size - 1))
+        now = array("q", (rank_of(match[k:k + 2], none) for k in range(size - 1)))
+        now.append(none)
+        heap = [rank << 40 | k for k, rank in enumerate(now) if rank != none]
+        heapify(heap)
+        while heap:
+            entry = heappop(heap)
+            at = entry & (1 << 40) - 1
+            if now[at] != entry >> 40:
+                continue
+            gone = after[at]
+            now[gone] = none
+            after[at] = after[gone]
+            if after[at] < size:
+                before[after[at]] = at
+            for place in (at, before[at]):
+                if place >= 0 and after[place] < size:
+                    now[place] = rank_of(match[place:after[after[place]]], none)
+                    if now[place] != none:
+                        heappush(heap, now[place] << 40 | place)
+                elif place >= 0:
+                    now[place] = none
+        ids, at = array("i"), 0
+        while at < size:
+            ids.append(self.ranks[match[at:after[at]]])
+            at = after[at]
+        return np.array(ids, np.int32)
+
     def encode_matches(self, matches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the matches and the number of ids of each."""
         whole = np.fromiter((self.ranks.get(m, -1) for m in matches), np.int64, len(matches))
@@ -123,6 +162,11 @@ class Vocabulary:
         parts: list[tuple[np.ndarray, np.ndarray]] = [(np.flatnonzero(whole >= 0), whole[whole >= 0].astype(np.int32)[:, None])]
         flat = np.frombuffer(b"".join(matches), np.uint8)
         begins = np.cumsum(sizes) - sizes
+        for k in todo[sizes[todo] > WIDE]:
+            ids = self.merge_long(matches[k])
+            counts[k] = ids.size
+            parts.append((np.array([k]), ids[None, :]))
+        todo = todo[sizes[todo] <= WIDE]
         width = 2
         while todo.size:
             fits = todo[sizes[todo] <= width]

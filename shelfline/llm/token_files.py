@@ -2,7 +2,7 @@
 
 Part ``n`` of a folder is ``n.tokens`` (little-endian unsigned ids, 16 bits if the vocabulary allows it, else 32),
 ``n.offsets`` (64-bit start of each document in the part, and the end) and ``n.docs`` (64-bit doc_ids). Parts follow each
-other in doc_id order. The place of a part in the whole is the prefix sum of the sizes of those before it, so the
+other in doc_id order, rows without a doc_id before all others: the table of parts tells how many begin each part. The place of a part in the whole is the prefix sum of the sizes of those before it, so the
 tasks that write need not know of each other.
 """
 
@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from shelfline.llm.arrays import KEEP_CASE, chunks, ragged, split_words
 from shelfline.plans.staging import Stage, WrittenTables
 
-MANIFEST = "part long, n_docs long, n_tokens long, bytes_per_id int"
+MANIFEST = "part long, n_docs long, n_missing long, n_tokens long, bytes_per_id int"
 READ = "doc_id long, start long, n_tokens long, ids binary"
 #: words whose ids a worker keeps; others are encoded again in each batch
 KEPT_WORDS = 300_000
@@ -111,7 +112,7 @@ def _write(folder: str, description: str, end_id: int, width: int) -> Callable[[
         part, attempt = task.partitionId(), task.taskAttemptId()
         kinds = ("tokens", "offsets", "docs")
         names = {kind: f"{base}/.{part:06d}.{attempt}.{kind}" for kind in kinds}
-        n_docs = n_tokens = 0
+        n_docs = n_missing = n_tokens = 0
         encoder = _encoder(description)
         with closing(fs.open_output_stream(names["tokens"])) as tokens, closing(
                 fs.open_output_stream(names["offsets"])) as offsets, closing(fs.open_output_stream(names["docs"])) as docs:
@@ -120,14 +121,16 @@ def _write(folder: str, description: str, end_id: int, width: int) -> Callable[[
                 ids, at = encoder.encode(batch.column("text"), end_id)
                 tokens.write(ids.astype(f"<u{width}").tobytes())
                 offsets.write((at[1:] + n_tokens).astype("<i8").tobytes())
-                docs.write(batch.column("doc_id").to_numpy(zero_copy_only=False).astype("<i8").tobytes())
+                docs.write(pc.fill_null(batch.column("doc_id"), 0).to_numpy().astype("<i8").tobytes())
                 n_docs += batch.num_rows
+                n_missing += batch.column("doc_id").null_count
                 n_tokens += ids.size
         for kind in kinds:  # whole files only appear under their names; a second attempt writes the same again
             fs.move(names[kind], f"{base}/{part:06d}.{kind}")
         yield pa.RecordBatch.from_arrays(
-            [pa.array([x], t) for x, t in ((part, pa.int64()), (n_docs, pa.int64()), (n_tokens, pa.int64()), (width, pa.int32()))],
-            ["part", "n_docs", "n_tokens", "bytes_per_id"])
+            [pa.array([x], t) for x, t in ((part, pa.int64()), (n_docs, pa.int64()), (n_missing, pa.int64()),
+                                               (n_tokens, pa.int64()), (width, pa.int32()))],
+            ["part", "n_docs", "n_missing", "n_tokens", "bytes_per_id"])
     return run
 
 
@@ -137,7 +140,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
 
     Rows are dealt by ranges of doc_id and sorted inside, so the parts in turn are the documents in ascending
     doc_id order; rows that repeat a doc_id follow each other by text. Null and empty texts are the end id alone.
-    Rows without a doc_id can't be addressed and are refused. ``folder`` is shared by all executors: a local
+    Rows without a doc_id come first, by a hash of the text, over as many parts as they fill; they are read back
+    with a null doc_id, and their ids count in the start of all that follow. ``folder`` is shared by all executors: a local
     path or a URI that pyarrow opens. The write runs when this is called.
     """
     stage = stage or WrittenTables(docs.sparkSession)
@@ -146,9 +150,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     from tokenizers import Tokenizer
 
     largest = max(Tokenizer.from_str(description).get_vocab_size(with_added_tokens=True) - 1, end_id)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.raise_error(F.lit("a row has no doc_id")).cast("long")).alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    ordered = rows.repartitionByRange("doc_id", spread).sortWithinPartitions("doc_id", spread, "text")
     run = _write(folder, description, end_id, 2 if largest < 2 ** 16 else 4)
     return stage(ordered.mapInArrow(run, MANIFEST), "token_parts")
 
@@ -168,11 +172,12 @@ def _read(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 tokens = mapped(fs, f"{name}.tokens", f"<u{row['bytes_per_id']}")
                 offsets, docs = mapped(fs, f"{name}.offsets", "<i8"), mapped(fs, f"{name}.docs", "<i8")
                 for k in range(0, row["n_docs"], READ_DOCS):
+                    own = np.array(docs[k:k + READ_DOCS])
                     at = np.array(offsets[k:k + READ_DOCS + 1])
                     ids = tokens[at[0]:at[-1]].astype("<u4")
                     edges = ((at - at[0]) * 4).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.array(docs[k:k + READ_DOCS])), pa.array(at[:-1] + row["base"]), pa.array(np.diff(at)),
+                        pa.array(own, mask=np.arange(k, k + own.size) < row["n_missing"]), pa.array(at[:-1] + row["base"]), pa.array(np.diff(at)),
                         pa.Array.from_buffers(pa.binary(), at.size - 1, [None, pa.py_buffer(edges), pa.py_buffer(ids)]),
                     ], ["doc_id", "start", "n_tokens", "ids"])
     return run

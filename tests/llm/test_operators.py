@@ -103,8 +103,14 @@ def test_token_files(spark, tmp_path, messy, nothing):
         want = library.encode(text or "", add_special_tokens=False).ids + [1]
         assert (row.doc_id, row.start, np.frombuffer(row.ids, "<u4").tolist()) == (doc, start, want)
         start += len(want)
-    with pytest.raises(Exception, match="no doc_id"):
-        token_files.write_token_files(messy, str(tmp_path / "b"), path)
+    parts = token_files.write_token_files(messy, str(tmp_path / "b"), path)
+    got = sorted(token_files.read_token_files(spark, str(tmp_path / "b"), parts).collect(), key=lambda r: r.start)
+    encoded = [(i, library.encode(t or "", add_special_tokens=False).ids + [1]) for i, t in TEXTS]
+    first = [x for x in encoded if x[0] is None]
+    assert 0 < len(first) and all(r.doc_id is None for r in got[:len(first)])
+    assert sorted(np.frombuffer(r.ids, "<u4").tolist() for r in got[:len(first)]) == sorted(ids for _, ids in first)
+    assert [(r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in got[len(first):]] == [x for x in encoded if x[0] is not None]
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
     empty = token_files.write_token_files(nothing, str(tmp_path / "c"), path)
     assert token_files.read_token_files(spark, str(tmp_path / "c"), empty).count() == 0
 
@@ -237,6 +243,9 @@ def test_byte_bpe_is_tiktoken(messy, nothing):
         assert row.ids == library.encode_ordinary(row.text or "") and bytes(row.decoded) == (row.text or "").encode()
     assert byte_bpe.encode(nothing, path, tokenizers.PATTERN).count() == 0
     vocabulary, pattern = byte_bpe.Vocabulary(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in ranks.items())), regex.compile(tokenizers.PATTERN)
+    letters = np.random.default_rng(5).choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP"), 1_000_000)
+    for text in ("".join(letters), "a" * 1_000_000, "x " + "é" * 5_000 + " the end", "".join(letters[:byte_bpe.WIDE + 1])):
+        assert byte_bpe.encode_texts(pa.array([text]), vocabulary, pattern)[0].tolist() == library.encode_ordinary(text)
 
     @given(st.text(alphabet="aab bcT'sx\n\t\r 　\x1c0 é日😀--__", max_size=60))
     @settings(max_examples=150, deadline=None)
