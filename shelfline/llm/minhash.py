@@ -30,7 +30,7 @@ CHANCE = 2.0 ** -BITS
 #: MAYBE are not looked at on their sets: with 160 minima a true 0.8 lies 5 standard errors above it.
 GROUP, SURE, MAYBE = 0.3, 0.75, 0.62
 BLOCK_ITEMS, ANCHORS = 2_000_000, 8
-SIGNED = "doc_id long, n_shingles long, cls binary, bands array<long>, sig array<long>"
+SIGNED = "doc_id long, text_key long, n_shingles long, cls binary, bands array<long>, sig array<long>"
 
 
 def _hash_family() -> tuple[np.ndarray, np.ndarray]:
@@ -88,10 +88,10 @@ def _sign(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
                     sigs.append(pack(values))
             full = np.concatenate([[0], np.cumsum(np.array(counts) > 0)])
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
+                batch.column("doc_id"), batch.column("text_key"), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
                 list_array(np.array(bands, np.uint64).reshape(-1).view(np.int64), full * BANDS, pa.int64()),
                 list_array(np.array(sigs, np.uint64).reshape(-1).view(np.int64), full * LONGS, pa.int64()),
-            ], ["doc_id", "n_shingles", "cls", "bands", "sig"])
+            ], ["doc_id", "text_key", "n_shingles", "cls", "bands", "sig"])
     return run
 
 
@@ -221,27 +221,18 @@ def _cross(large: DataFrame, strays: DataFrame, bands: DataFrame) -> DataFrame:
     return held.unionByName(strays.join(aimed, ["grp", "cls", "slice"]).withColumn("asked", F.lit(True)))
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, stage: Stage | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text; other columns are ignored).
-
-    Documents are linked if their sets of distinct ``words``-word shingles (ASCII letters in lower case, words cut
-    at ASCII blanks) have ``100 * intersection >= percent * union``. A text with fewer words is one shingle. Null
-    and empty texts have no shingle and no links. Equal sets are one class from the start, so exact copies never
-    meet pair by pair. ``component_id`` is the smallest doc_id reachable; rows that repeat a doc_id keep it together.
-    A null doc_id never is a component_id unless its whole component has none. Tables are written under the
-    folder that ``stage`` keeps (the shared checkpoint folder by default).
-    """
-    stage = stage or WrittenTables(docs.sparkSession)
+def _grouped(docs: DataFrame, words: int, percent: int, stage: Stage) -> DataFrame:
+    """doc_id, text_key (hash of the text), n_shingles, label of the component and its smallest doc_id, for each row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = stage(docs.mapInArrow(_sign(words), SIGNED), "signatures")
+    signed = stage(docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(_sign(words), SIGNED), "signatures")
     classes = stage(signed.where("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"),
+        F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.first("n_shingles").alias("n_shingles"),
         F.first("bands").alias("bands"), F.first("sig").alias("sig")), "classes")
-    groups = stage(components(_coarse(classes.where("first_id is not null"), stage), stage)
+    groups = stage(components(_coarse(classes, stage), stage)
                    .select(F.col("vertex").alias("cls"), F.col("label").alias("grp")), "groups")
 
     # sets of all classes in a group; a group of many sets is cut into blocks of bounded size
-    sized = groups.join(classes.select("cls", "first_id", "n_shingles", "sig"), "cls")
+    sized = groups.join(classes.select("cls", "first_id", "text_key", "n_shingles", "sig"), "cls")
     blocks = sized.groupBy("grp").agg(F.ceil(F.sum("n_shingles") / BLOCK_ITEMS).cast("int").alias("blocks"),
                                       F.count(F.lit(1)).alias("members"))
     bins = int(blocks.agg(F.sum("blocks")).first()[0] or 1)
@@ -250,7 +241,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, stage: S
     # a few members of a cut group stand in each of its blocks, so that what hangs together does so across blocks
     anchor = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("cls", F.lit("anchor")), F.floor(F.col("members") / ANCHORS) + 1) == 0)
     placed = sized.join(blocks, "grp").withColumn("anchor", anchor).drop("n_shingles", "members")
-    texts = docs.join(placed, docs.doc_id == placed.first_id).select("grp", "cls", "sig", "blocks", "anchor", "text")
+    names = ["grp", "cls", "sig", "blocks", "anchor", "text"]
+    texts = docs.join(placed, docs.doc_id == placed.first_id).select(*names)
+    if not classes.where("first_id is null").isEmpty():  # classes of rows without a doc_id are found by their text
+        lone = docs.where("doc_id is null").withColumn("_key", F.xxhash64("text")).dropDuplicates(["_key"])
+        texts = texts.union(lone.join(placed.where("first_id is null"), F.col("_key") == F.col("text_key")).select(*names))
     sets = stage(texts.mapInArrow(_sets(words), "grp binary, cls binary, sig array<long>, blocks int, anchor boolean, items binary"), "sets")
 
     block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("cls"), "blocks")).otherwise(F.lit(0)).cast("int")
@@ -275,8 +270,44 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, stage: S
     final = components(edges, stage).withColumnRenamed("vertex", "cls")
     named = classes.select("cls", "first_id").join(final, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     ids = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    by_class = named.join(ids, "label").select("cls", "component_id")
-    out = signed.select("doc_id", "n_shingles", "cls").join(by_class, "cls", "left")
+    by_class = named.join(ids, "label").select("cls", "label", "component_id")
+    return signed.select("doc_id", "text_key", "n_shingles", "cls").join(by_class, "cls", "left").drop("cls")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, stage: Stage | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text; other columns are ignored).
+
+    Documents are linked if their sets of distinct ``words``-word shingles (ASCII letters in lower case, words cut
+    at ASCII blanks) have ``100 * intersection >= percent * union``. A text with fewer words is one shingle. Null
+    and empty texts have no shingle and no links. Equal sets are one class from the start, so exact copies never
+    meet pair by pair. ``component_id`` is the smallest doc_id reachable; rows that repeat a doc_id keep it together.
+    Rows without a doc_id are linked as all others are; if a whole component has no doc_id, its component_id is null
+    and all its rows are kept (``first_of_each`` leaves one row). Tables are written under the folder that ``stage``
+    keeps (the shared checkpoint folder by default).
+    """
+    out = _grouped(docs, words, percent, stage or WrittenTables(docs.sparkSession))
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def first_of_each(docs: DataFrame, words: int = 5, percent: int = 80, stage: Stage | None = None) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that of the smallest doc_id, nulls last.
+
+    Rows are told apart by doc_id and a 64-bit hash of the text. Of rows that share a doc_id in one group that of the
+    smallest hash stays, of rows alike in both any one. Rows without words are in no group and all stay.
+    """
+    stage = stage or WrittenTables(docs.sparkSession)
+    found = stage(_grouped(docs, words, percent, stage), "grouped")
+    rows = found.where("label is not null").groupBy("label", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    first = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "n")).alias("first"))
+    wordless = found.where("label is null").select("doc_id", "text_key").distinct().withColumn("n", F.lit(1).cast("long"))
+    chosen = stage(first.select("first.doc_id", "first.text_key", "first.n").union(wordless), "first_of_each")
+
+    def of(some: DataFrame) -> DataFrame:
+        key = F.xxhash64(docs["text"].cast("string"))
+        return docs.join(some, docs["doc_id"].cast("long").eqNullSafe(some["doc_id"]) & (key == some["text_key"]), "left_semi")
+
+    alike = chosen.where("n > 1")
+    kept = of(chosen.where("n = 1"))
+    return kept if alike.isEmpty() else kept.union(of(alike).dropDuplicates(["doc_id", "text"]))

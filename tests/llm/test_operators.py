@@ -46,6 +46,23 @@ def test_near_duplicates(messy, nothing):
             assert row.component_id == want[row.doc_id] and row.kept == (row.doc_id == row.component_id)
     assert {r.n_shingles for r in got if r.doc_id in (4, 5, 6)} == {0}
     assert minhash.near_duplicates(nothing).count() == 0
+    assert minhash.first_of_each(nothing).count() == 0 and minhash.first_of_each(messy).columns == messy.columns
+
+
+def test_rows_without_an_id_are_linked_one_by_one(spark):
+    a, b, c, d = ([f"{name}{k}" for k in range(60)] for name in "abcd")
+    near = lambda words, k: " ".join([*words[:-1], f"other{k}"])
+    texts = [(5, " ".join(a)), (None, near(a, 1)), (None, near(a, 2)), (None, " ".join(b)), (None, " ".join(b)), (None, near(b, 1)),
+             (7, " ".join(c)), (7, " ".join(c)), (7, " ".join(d)), (None, None), (None, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in texts], "doc_id long, text string, label string, n int").repartition(4)
+    got = minhash.near_duplicates(docs, words=5).collect()
+    assert {r.component_id for r in got if r.n_shingles} == {5, 7, None} and len(got) == len(texts)
+    assert sum(r.component_id == 5 for r in got) == 3 and sum(r.kept for r in got) == len(texts) - 2
+    left = sorted(((r.doc_id, r.text) for r in minhash.first_of_each(docs, words=5).collect()), key=str)
+    lone = [t for i, t in left if i is None and t]
+    assert len(lone) == 1 and lone[0].startswith("b0 ")
+    assert [x for x in left if x[0] is not None or x[1] is None] == sorted(
+        [(5, " ".join(a)), (7, " ".join(c)), (7, " ".join(d)), (9, ""), (None, None), (None, None)], key=str)
 
 
 def test_links_across_blocks_are_found(spark, monkeypatch):
