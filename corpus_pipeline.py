@@ -12,7 +12,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline.llm import byte_bpe, pii, rules
-from shelfline.llm.minhash import near_duplicates
+from shelfline.llm.minhash import first_of_each
 from shelfline.llm.positions import contamination
 from shelfline.session import ensure_checkpoint_dir
 
@@ -24,16 +24,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest doc_id: five words, similarity 0.8."""
-    kept = near_duplicates(docs, words=5, percent=80).where("kept").select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """One document of each group of near duplicates, that of the smallest doc_id: five words, similarity 0.8.
+
+    Rows without a doc_id and rows that share one are judged row by row; of a group without any doc_id one row stays.
+    """
+    return first_of_each(docs, words=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no ten-word window of a benchmark item stands."""
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
-    hit = found.where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """Documents in which no ten-word window of a benchmark item stands.
+
+    Rows are known by a hash of doc_id and text, so rows without a doc_id and rows that share one are judged one by one.
+    """
+    row = F.xxhash64(docs["doc_id"], docs["text"])
+    found = contamination(docs.select(row.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10)
+    hit = found.where("contaminated").select(F.col("doc_id").alias("row")).distinct()
+    return docs.join(hit, row == hit["row"], "left_anti")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,6 +41,16 @@ def test_stages(spark, monkeypatch):
     assert len(out["token ids"]) == len(out["personal data"]) and all(r.round_trip and r.n_tokens == len(r.ids) for r in out["token ids"])
 
 
+def test_contaminated_rows_go_one_by_one(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 100").first().text
+    texts = [(1, f"before {item} after"), (1, "clean and short"), (None, item), (None, "clean too"), (None, None), (2, "")]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in texts], "doc_id long, text string, row int")
+    left = corpus_pipeline.decontaminate(spark, docs, SF)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(
+        [(1, "clean and short"), (None, "clean too"), (None, None), (2, "")], key=str)
+
+
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_sql_twins(spark, key):
     con = duckdb.connect()
