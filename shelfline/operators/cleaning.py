@@ -136,22 +136,24 @@ def _long_report(source: str, row: DataFrame) -> DataFrame:
     return row.select(F.lit(source).alias("source"), pairs.alias("metric", "value"))
 
 
-def sales_report(raw: DataFrame) -> DataFrame:
-    unique = dedup_rows(raw)
-    dated = clip_negative(promo_count_to_flag(coerce_dates(unique)))
-    limit = exact_quantile(dated, "sales", CAP_QUANTILE).scalar()
-    row = raw.agg(F.count(F.lit(1)).alias("initial_rows"))
-    unique_rows = unique.agg(F.count(F.lit(1)).alias("n")).scalar()
-    flagged = anomaly_days(cap_outliers_quantile(dated)).agg(F.count(F.lit(1)).alias("n")).scalar()
-    after = dated.withColumn("_cap", limit).agg(
-        F.count(F.lit(1)).alias("final_rows"),
-        F.count_if(F.col("sales") > F.col("_cap")).alias("outliers_capped"),
-        round_scaled(F.max("_cap"), 2).alias("outlier_threshold"),
-        round_scaled(F.avg("onpromotion") * 100, 1).alias("actual_promo_rate"),
-        F.count_if(F.col("sales") == 0).alias("zero_sales_kept"))
-    before = row.withColumn("duplicates_removed", F.col("initial_rows") - unique_rows).withColumn(
-        "anomaly_days_flagged", flagged)
-    return _long_report("sales", before).unionByName(_long_report("sales", after))
+def sales_report(raw: DataFrame, stage: Stage = lazy) -> DataFrame:
+    """Counts of the sales steps. The raw table is read once: each row's copies are counted as it is de-duplicated, and all else
+    comes from that table, which a writing ``stage`` keeps."""
+    counted = stage(raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("_copies")), "sales_counted")
+    dated = clip_negative(promo_count_to_flag(counted.withColumn("date", F.col("date").try_cast("date"))))
+    kept = F.col("date").isNotNull()
+    limit = stage(exact_quantile(dated.where(kept), "sales", CAP_QUANTILE), "sales_cap").scalar()
+    capped = dated.where(kept).withColumn("sales", F.least("sales", limit))
+    flagged = stage(anomaly_days(capped).agg(F.count(F.lit(1)).alias("n")), "anomaly_count").scalar()
+    row = dated.withColumn("_cap", limit).agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("initial_rows"),
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates_removed"),
+        F.count_if(kept).alias("final_rows"),
+        F.count_if(kept & (F.col("sales") > F.col("_cap"))).alias("outliers_capped"),
+        round_scaled(F.max(F.when(kept, F.col("_cap"))), 2).alias("outlier_threshold"),
+        round_scaled(F.avg(F.when(kept, F.col("onpromotion"))) * 100, 1).alias("actual_promo_rate"),
+        F.count_if(kept & (F.col("sales") == 0)).alias("zero_sales_kept"))
+    return _long_report("sales", row.withColumn("anomaly_days_flagged", flagged))
 
 
 def stores_report(stores: DataFrame) -> DataFrame:
@@ -185,9 +187,9 @@ def merged_report(merged: DataFrame) -> DataFrame:
 
 
 def cleaning_report(sales: DataFrame, stores: DataFrame, holidays: DataFrame, oil: DataFrame,
-                    merged: DataFrame) -> DataFrame:
+                    merged: DataFrame, stage: Stage = lazy) -> DataFrame:
     """All sources' counts as (source, metric, value)."""
-    parts = [sales_report(sales), stores_report(stores), holidays_report(holidays), oil_report(oil),
+    parts = [sales_report(sales, stage), stores_report(stores), holidays_report(holidays), oil_report(oil),
              merged_report(merged)]
     report = parts[0]
     for part in parts[1:]:

@@ -562,7 +562,7 @@ def zero_days_by_family(b):
 @query
 def cleaning_report(b):
     return cl.cleaning_report(_doubled(b), cl.clean_stores(b.raw.stores), cl.clean_holidays(b.raw.holidays),
-                              b.raw.oil, b.merged)
+                              b.raw.oil, b.merged, b.stage)
 
 
 @query

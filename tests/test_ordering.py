@@ -2,7 +2,9 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from shelfline.plans.ordering import exact_quantile, with_rank, with_row_number
+from pyspark.sql import functions as F
+
+from shelfline.plans.ordering import _spans_near, exact_quantile, with_rank, with_row_number
 from shelfline.plans.staging import lazy
 
 rng = np.random.default_rng(7)
@@ -25,6 +27,28 @@ def test_quantile_of_nothing_is_null(spark):
     assert exact_quantile(spark.range(0), "id", 0.5).first()[0] is None
 
 
+@pytest.mark.parametrize("n, q", [(1, 0.1), (2, 0.995), (3, 0.1), (7, 0.5), (1999, 0.995)])
+def test_quantiles_of_any_size_and_type(spark, n, q):
+    values = pd.DataFrame({"v": rng.integers(0, max(2, n // 3), n), "w": rng.normal(0, 9, n)})
+    frame = spark.createDataFrame(values).repartition(3).withColumn("d", F.col("w").cast("decimal(20,6)"))
+    assert exact_quantile(frame, "v", q, 4).first()[0] == pytest.approx(values.v.quantile(q))
+    assert exact_quantile(frame, "d", q, 4).first()[0] == pytest.approx(values.w.round(6).quantile(q))
+
+
+def test_quantile_moves_only_values_near_it(spark, tmp_path):
+    rows = spark.range(200_000).select(F.hash("id").cast("double").alias("v"), F.col("id"))
+    rows.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    near = _spans_near(table, "v", 0.9, 8)
+    assert near.count() < 200  # distinct values are 200,000
+    got = exact_quantile(table, "v", 0.9, 8)
+    assert got.first()[0] == pytest.approx(table.toPandas().v.quantile(0.9), rel=1e-12)
+    plan = got._jdf.queryExecution().executedPlan()
+    got.collect()
+    run = plan.toString().rsplit("\n+- == Initial Plan ==", 1)[0]
+    assert "ReusedExchange" in run and "ReusedSubquery" in run  # one scan for the sketch, one for the values
+
+
 @pytest.mark.parametrize("method", ["min", "average"])
 @pytest.mark.parametrize("bounded", [True, False])
 def test_rank_with_ties(spark, tmp_path, method, bounded):
