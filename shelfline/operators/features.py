@@ -174,7 +174,11 @@ def build_features(merged: DataFrame, exclude_current: bool = False, stage: Stag
 
 
 def panel_verification(df: DataFrame) -> DataFrame:
-    return df.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"),
-                  F.countDistinct("store_id").alias("stores"), F.countDistinct("family").alias("families"),
-                  F.count_if(F.col("sales") == 0).alias("zero_sales"),
-                  (F.avg((F.col("sales") == 0).cast("int")) * 100).alias("zero_share"))
+    """Date range, stores, families and zero days; stores and families are counted over one row per series, not by expanding all rows."""
+    series = df.groupBy("store_id", "family").agg(
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        F.count_if(F.col("sales") == 0).alias("zero_sales"), F.count("sales").alias("_days"))
+    return series.agg(F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
+                      F.countDistinct("store_id").alias("stores"), F.countDistinct("family").alias("families"),
+                      F.coalesce(F.sum("zero_sales"), F.lit(0)).alias("zero_sales"),
+                      (F.try_divide(F.sum("zero_sales"), F.sum("_days")) * 100).alias("zero_share"))

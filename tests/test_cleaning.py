@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from shelfline.operators import cleaning as cl, merging as mg
+from shelfline.plans.staging import WrittenTables
 from shelfline.schemas import HOLIDAYS, OIL, SALES, STORES
 
 D = dt.date
@@ -23,6 +24,33 @@ def test_clean_sales_steps(spark):
     assert [r.is_anomaly_day for r in out] == [1] + [0] * 9
 
 
+def test_sales_report_reads_the_table_once(spark, tmp_path):
+    rows = [(D(2020, 1, 1 + k), 1, "A", float(10 * k), k % 3) for k in range(10)]
+    extra = [rows[3], rows[3], rows[0], (None, 1, "A", 7.0, 0), (None, 1, "A", 7.0, 0), (D(2020, 1, 11), 1, "A", -4.0, 1)]
+    sales(spark, rows + extra).write.parquet(str(tmp_path / "raw_table"))
+    raw, asked = spark.read.schema(SALES).parquet(str(tmp_path / "raw_table")), []
+    written = WrittenTables(spark, str(tmp_path / "steps"))
+
+    def stage(df, name):
+        asked.append((name, any("raw_table" in path for path in df.inputFiles())))
+        return written(df, name)
+
+    report = cl.sales_report(raw, stage)
+    assert asked == [("sales_counted", True), ("sales_cap", False), ("anomaly_count", False)]
+    assert report.inputFiles() and not any("raw_table" in path for path in report.inputFiles())
+    got = {r.metric: r.value for r in report.collect()}
+    assert got == {r.metric: r.value for r in cl.sales_report(raw).collect()}
+    assert got == {"initial_rows": 16, "duplicates_removed": 4, "final_rows": 11, "outliers_capped": 1,
+                   "outlier_threshold": pytest.approx(round(80 + 0.95 * 10, 2)), "zero_sales_kept": 2,
+                   "actual_promo_rate": round(100 * 7 / 11, 1), "anomaly_days_flagged": 0}
+
+
+def test_sales_report_of_nothing(spark):
+    got = {r.metric: r.value for r in cl.sales_report(sales(spark, [])).collect()}
+    assert got["initial_rows"] == got["duplicates_removed"] == got["final_rows"] == got["outliers_capped"] == 0
+    assert got["outlier_threshold"] is None and got["anomaly_days_flagged"] == 0
+
+
 def test_clip_keeps_null(spark):
     frame = spark.createDataFrame([(-1.0,), (2.0,), (None,)], "sales double")
     assert [r.sales for r in cl.clip_negative(frame).collect()] == [0.0, 2.0, None]
