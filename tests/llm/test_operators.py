@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import json
 import math
 
 import numpy as np
@@ -148,6 +149,37 @@ def test_words_or_whole_texts_give_the_same_ids():
     check()
 
 
+def test_words_cut_by_kind_give_the_same_ids_and_few_go_through_the_whole_tokenizer(monkeypatch):
+    with open(tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        description = file.read()
+    library, encoder = Tokenizer.from_str(description), token_files.WordEncoder(description)
+    other = json.loads(description)
+    other["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] += "|x"
+    assert token_files.cuts_by_kind(description) and not token_files.cuts_by_kind(json.dumps(other))
+
+    @given(st.lists(st.text(alphabet="aHhJsSrtevELlLmdD'#.$ \n\x7f\x1c19éÉßÿ×÷Þ\u0331\u0308\u0338\u030c\u0307\u0345ΣİﬁＡ€日٣\u00a0\u0085\u1100\u1161", max_size=12), max_size=8))
+    @settings(max_examples=400, deadline=None)
+    def check(texts):
+        ids, at = encoder.encode(pa.array([*texts, *told], pa.string()), 1)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [library.encode(t, add_special_tokens=False).ids + [1] for t in [*texts, *told]]
+    told = []
+    check()
+    told = ["x<|endoftext|>y'S", "X<|ENDOFTEXT|>H\u0331"]
+    check()
+    broken = pa.array([b"ab\xc3", b"\x80#a", b"\xe3\xc3\x80#", b"\xff'S1"]).view(pa.string())  # not UTF-8
+    ids, at = encoder.encode(broken, 1)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [
+        library.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids + [1] for t in broken.view(pa.binary()).to_pylist()]
+
+    encoder, seen = token_files.WordEncoder(description), []
+    whole = encoder._batch
+    monkeypatch.setattr(encoder, "_batch", lambda texts: seen.extend(texts) or whole(texts))
+    words = [f"{w}{mark}" for w in ("unless", "Unless", "UNLESS", "Ünless", "ünless") for mark in ("", ",", "###", "###1")]
+    ids, _ = encoder.encode(pa.array([" ".join(words)]), 1)
+    assert ids.tolist() == library.encode(" ".join(words), add_special_tokens=False).ids + [1]
+    assert sorted(seen) == ["###", ",", "1"]  # all twenty words, before
+
+
 def test_licenses(spark, nothing):
     docs = spark.createDataFrame([(1, "some text\nLICENSED UNDER the Apache Licence, version 2.0"), (2, "Copyright 2020 X\nReleased under the MIT License"),
                                   (3, None), (4, "Released under no licence"), (None, "Released under the MIT License."), (1, "x")], "doc_id long, text string")
