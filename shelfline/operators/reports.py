@@ -29,10 +29,15 @@ def _month(df: DataFrame) -> Column:
 
 
 def dash_kpis(df: DataFrame) -> DataFrame:
-    """Totals, and the distinct stores and families; these are counted over the sums per series, not by expanding the panel's rows."""
-    series = df.groupBy("store_id", "family").agg(F.sum("sales").alias("sales"), F.sum("is_zero_sale").alias("is_zero_sale"), row_count(df).alias("_rows"))
+    """Totals, and the distinct stores and families; these are counted over the sums per series, not by expanding the panel's rows.
+
+    The sums have names of their own: Spark puts the columns it expands in an order of their ids, so a plan where both
+    steps go by ``store_id`` and ``family`` shows now the one and now the other first.
+    """
+    keys = F.col("store_id").alias("store"), F.col("family").alias("product")
+    series = df.groupBy(*keys).agg(F.sum("sales").alias("sales"), F.sum("is_zero_sale").alias("is_zero_sale"), row_count(df).alias("_rows"))
     return series.agg(F.sum("sales").alias("total_revenue"), mean_of(series, "sales").alias("avg_daily_sales"),
-                      F.countDistinct("store_id").alias("stores"), F.countDistinct("family").alias("families"),
+                      F.countDistinct("store").alias("stores"), F.countDistinct("product").alias("families"),
                       (mean_of(series, "is_zero_sale") * 100).alias("stockout_rate"))
 
 
